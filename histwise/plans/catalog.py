@@ -101,3 +101,163 @@ _feature_query("content_posterior_2",
 def feature_matrix_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     from histwise.plans.matrix import feature_matrix
     return feature_matrix(context(spark, sf_dir))
+
+
+# --- composite queries ----------------------------------------------------------------
+from histwise.functions.exprs import ratio  # noqa: E402
+from histwise.operators import drift, matrix as M, metrics  # noqa: E402
+from histwise.operators import windows as W  # noqa: E402
+from histwise.operators.model import predict_mean, top_k  # noqa: E402
+from histwise.plans import training  # noqa: E402
+from histwise.plans.matrix import FOLD, LABEL, feature_matrix, matrix_columns  # noqa: E402
+
+WEIGHTED = ("UserCumulativeUserInteractionsByPartWeightedWindowSize100",
+            "UserCumulativeUserInteractionsWeightedWindowSize100")
+ROUNDED = ([f"{n}_{c}" for n in WEIGHTED for c in HIST]
+           + ["UserLastSolvedProblemSimilarity_similarity"])
+ALL_PARTS = [name for name, _, _ in oracle.MATRIX_PARTS]
+
+
+def matrix_cols() -> list[str]:
+    return matrix_columns(ALL_PARTS)
+
+
+def comparable_matrix(spark, sf_dir) -> DataFrame:
+    """The fused matrix with order-sensitive float sums rounded to 6 digits."""
+    return _rounded(feature_matrix(context(spark, sf_dir)), ROUNDED)
+
+
+def _oracle_matrix() -> str:
+    return oracle.feature_matrix({n: list(REGISTRY[n].columns) for n in ALL_PARTS})
+
+
+register("feature_matrix", _oracle_matrix)(comparable_matrix)
+
+
+@register("debug_sample", oracle.debug_sample)
+def q_debug_sample(spark, sf_dir):
+    return M.debug_sample(feature_frame(context(spark, sf_dir), "UserCumulativeUserInteractions"))
+
+
+@register("null_report", lambda: oracle.null_report(_oracle_matrix(), matrix_cols()))
+def q_null_report(spark, sf_dir):
+    return M.null_report(comparable_matrix(spark, sf_dir), matrix_cols())
+
+
+@register("column_ranges", lambda: oracle.column_ranges(_oracle_matrix(), matrix_cols()))
+def q_column_ranges(spark, sf_dir):
+    return M.column_ranges(comparable_matrix(spark, sf_dir), matrix_cols())
+
+
+@register("fold_balance", oracle.fold_balance)
+def q_fold_balance(spark, sf_dir):
+    base = context(spark, sf_dir).base()
+    return training.fold_balance(base, "val", "answered_correctly")
+
+
+@register("odds_weight", oracle.odds_weight)
+def q_odds_weight(spark, sf_dir):
+    it = context(spark, sf_dir).items()
+    return it.where(F.col("mean_content_accuracy").isNotNull()).select(
+        "content_id", "mean_content_accuracy", "weight")
+
+
+@register("attempt_number", oracle.attempt_number)
+def q_attempt_number(spark, sf_dir):
+    base = context(spark, sf_dir).base()
+    return base.select("row_id", W.occurrence_no(("user_id", "content_id")).cast("long")
+                       .alias("attempt_no"))
+
+
+def _two_scores(spark, sf_dir):
+    """Item accuracy and running user accuracy as two deterministic per-row scores."""
+    ctx = context(spark, sf_dir)
+    frame = ctx.with_items(ctx.base())
+    a = frame.select("row_id", F.col("answered_correctly").alias("label"), "val",
+                     F.col("_i_mean_content_accuracy").alias("score"))
+    b = ctx.base().select(
+        "row_id", F.col("answered_correctly").alias("label"), "val",
+        ratio(W.running_sum(F.col("answered_correctly").cast("long"), "user_id"),
+              W.running_count("user_id")).alias("score"))
+    return a, b
+
+
+@register("prediction_mean", oracle.prediction_mean)
+def q_prediction_mean(spark, sf_dir):
+    a, b = _two_scores(spark, sf_dir)
+    return predict_mean([a.select("row_id", "score"), b.select("row_id", "score")])
+
+
+@register("auc_exact", oracle.auc_exact)
+def q_auc_exact(spark, sf_dir):
+    a, _ = _two_scores(spark, sf_dir)
+    return metrics.auc(a.where(F.col("val") == 1))
+
+
+@register("train_test_union", oracle.train_test_union)
+def q_train_test_union(spark, sf_dir):
+    ctx = context(spark, sf_dir)
+    f = REGISTRY["UserCumulativeUserInteractions"]
+    h = f.apply(ctx, ctx.base()).select(
+        "row_id", "val", "prior_question_elapsed_time",
+        F.col(f.out("cumlative_user_appearance")).alias("cumlative_user_appearance"),
+        F.col(f.out("mean_user_accuracy")).alias("mean_user_accuracy"))
+    trn = h.where(F.col("val") == 0).select("row_id", "cumlative_user_appearance", "mean_user_accuracy")
+    tst = h.where(F.col("val") == 1).select("row_id", "cumlative_user_appearance",
+                                            "prior_question_elapsed_time")
+    return drift.label_union(trn, tst)
+
+
+@register("top_k", lambda: oracle.top_k(_oracle_matrix(), matrix_cols()))
+def q_top_k(spark, sf_dir):
+    m = comparable_matrix(spark, sf_dir)
+    cols = matrix_cols()
+    per_fold = m.groupBy(F.col(FOLD).alias("fold")).agg(
+        *[F.count(F.col(c)).cast("double").alias(c) for c in cols])
+    long_ = per_fold.unpivot("fold", cols, "feature", "value")
+    f0 = long_.where(F.col("fold") == 0).select("feature", F.col("value").alias("imp_0"))
+    f1 = long_.where(F.col("fold") == 1).select("feature", F.col("value").alias("imp_1"))
+    mean = f0.join(f1, "feature", "inner").select(
+        "feature", ((F.col("imp_0") + F.col("imp_1")) / 2.0).alias("value"))
+    return top_k(mean, 30)
+
+
+# --- model queries (no SQL oracle: MLlib training) -----------------------------------
+_RUNS: dict = {}
+
+
+def _run(spark, sf_dir):
+    key = (id(spark), sf_dir)
+    if key not in _RUNS:
+        ctx = context(spark, sf_dir)
+        _RUNS[key] = training.run(ctx, training.RunConfig())
+    return _RUNS[key]
+
+
+@register("gbt_predictions")
+def q_gbt_predictions(spark, sf_dir):
+    res, _ = _run(spark, sf_dir)
+    return res.oof
+
+
+@register("gbt_importances")
+def q_gbt_importances(spark, sf_dir):
+    res, _ = _run(spark, sf_dir)
+    return res.importances
+
+
+@register("drift_check")
+def q_drift_check(spark, sf_dir):
+    import json
+    m = feature_matrix(context(spark, sf_dir))
+    feats = matrix_cols()[2:]
+    trn, tst = m.where(F.col(FOLD) == 0), m.where(F.col(FOLD) == 1)
+    r = drift.adversarial_validation(trn, tst, feats)
+    return spark.createDataFrame(
+        [(r["train_auc"], r["val_auc"], json.dumps(r["feature_importances"]))],
+        "train_auc double, val_auc double, feature_importances string")
+
+
+@register("narrow_types")
+def q_narrow_types(spark, sf_dir):
+    return M.narrow_types(feature_matrix(context(spark, sf_dir)))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from histwise.operators import item_stats, windows as W
+from histwise.session import ensure_checkpoint_dir
 from histwise.sources.inputs import Inputs, bounded_broadcast, with_val_flag
 
 BASE_COLUMNS = ("row_id", "user_id", "timestamp", "content_id", "answered_correctly",
@@ -33,7 +34,10 @@ class FeatureContext:
         return self._memo[key]
 
     def _fix(self, df: DataFrame) -> DataFrame:
-        return df.checkpoint(eager=True) if self.materialise else df
+        if not self.materialise:
+            return df
+        ensure_checkpoint_dir(df.sparkSession)
+        return df.checkpoint(eager=True)
 
     # -- the row frame ----------------------------------------------------------
     def base(self) -> DataFrame:

@@ -293,3 +293,129 @@ def content_posterior(min_support: int) -> str:
    AND l.bef_content_id = agg.bef_content_id
    AND l.bef_answered_correctly = agg.bef_answered_correctly)
 SELECT * FROM f""")
+
+
+# --- composite queries -------------------------------------------------------------------
+# (feature class, oracle builder, columns rounded to 6 digits on both sides)
+MATRIX_PARTS = [
+    ("Fold", fold, False), ("Target", target, False),
+    ("LabelEncoding", label_encoding, False), ("NumericFeatures", numeric_features, False),
+    ("UserCumulativeUserInteractions", user_cumulative, False),
+    ("ContentAverageCorrectedAnswers", content_first_attempt_accuracy, False),
+    ("ContentNumberOfAnswers", content_number_of_answers, False),
+    ("ContentNumberOfAnswersAfterSecondTime", content_number_after_second, False),
+    ("UserCumulativeUserInteractionsByPart", user_cumulative_by_part, False),
+    ("UserLastSolvedProblem", user_last_solved, False),
+    ("UserLecturedAtLeastOnce", user_lectured_at_least_once, False),
+    ("UserAnsweredInThePast", user_answered_in_past, False),
+    ("UserLastSolvedProblemSimilarity", similarity, False),
+    ("UserCumulativeUserInteractionsByPartWindowSize100", lambda: user_by_part_window(100), False),
+    ("UserCumulativeUserInteractionsByPartWeightedWindowSize100",
+     lambda: user_weighted_window(100, True), False),
+    ("UserCumulativeUserInteractionsWeightedWindowSize100",
+     lambda: user_weighted_window(100, False), False),
+    ("ContentAverageCorrectedAnswersPosterior", lambda: content_posterior(100), False),
+]
+
+
+def _strip(sql: str) -> str:
+    return sql.strip()
+
+
+def feature_matrix(columns: dict[str, list[str]]) -> str:
+    """Join of all feature statements on row_id, columns prefixed ``{Class}_``."""
+    parts, sel = [], ["m0.row_id"]
+    for i, (name, build, _) in enumerate(MATRIX_PARTS):
+        alias = f"m{i}"
+        parts.append(f"({_strip(build())}) AS {alias}" if i == 0 else
+                     f"JOIN ({_strip(build())}) AS {alias} ON m0.row_id = {alias}.row_id")
+        sel += [f'{alias}."{c}" AS "{name}_{c}"' for c in columns[name]]
+    return f"SELECT {', '.join(sel)} FROM " + "\n".join(parts)
+
+
+def debug_sample(n: int = 10_000) -> str:
+    return f"SELECT * FROM ({_strip(user_cumulative())}) AS s ORDER BY row_id LIMIT {int(n)}"
+
+
+def null_report(matrix_sql: str, cols: list[str]) -> str:
+    counts = ", ".join(f'CAST(COUNT(*) - COUNT("{c}") AS BIGINT) AS "{c}"' for c in cols)
+    return f"SELECT CAST(COUNT(*) AS BIGINT) AS n_rows, {counts} FROM ({matrix_sql}) AS m"
+
+
+def column_ranges(matrix_sql: str, cols: list[str]) -> str:
+    aggs = ", ".join(f'MIN("{c}") AS "min_{c}", MAX("{c}") AS "max_{c}"' for c in cols)
+    return f"SELECT {aggs} FROM ({matrix_sql}) AS m"
+
+
+def fold_balance() -> str:
+    return _q(""", f AS (SELECT val, CAST(COUNT(*) AS BIGINT) AS n_rows,
+  CAST(SUM(answered_correctly) AS BIGINT) AS positives FROM tq GROUP BY val) SELECT * FROM f""")
+
+
+def odds_weight() -> str:
+    return _q(", f AS (SELECT content_id, accuracy AS mean_content_accuracy, weight FROM wt) "
+              "SELECT * FROM f")
+
+
+def attempt_number() -> str:
+    return _q(f""", f AS (SELECT row_id, CAST(row_number() OVER ({W_ITEM}) AS BIGINT) AS attempt_no
+FROM tq) SELECT * FROM f""")
+
+
+def _scores() -> str:
+    """Two deterministic per-row scores standing in for two fold models."""
+    return f"""
+, a AS (SELECT tq.row_id, tq.answered_correctly AS label, tq.val, acc.accuracy AS score
+        FROM tq LEFT JOIN acc ON tq.content_id = acc.content_id)
+, b AS (SELECT row_id, answered_correctly AS label, val,
+               CAST(SUM(answered_correctly) OVER ({W_USER} {BEFORE}) AS DOUBLE)
+               / NULLIF(CAST(SUM(1) OVER ({W_USER} {BEFORE}) AS DOUBLE), 0) AS score FROM tq)"""
+
+
+def prediction_mean() -> str:
+    return _q(_scores() + """
+, u AS (SELECT row_id, score FROM a UNION ALL SELECT row_id, score FROM b)
+, f AS (SELECT row_id, AVG(score) AS score FROM u GROUP BY row_id)
+SELECT * FROM f""")
+
+
+def auc_exact() -> str:
+    return _q(_scores() + """
+, s AS (SELECT label AS y, score AS p FROM a WHERE val = 1 AND score IS NOT NULL AND score <> 0)
+, g AS (SELECT p, SUM(y) AS pos, SUM(1 - y) AS neg FROM s GROUP BY p)
+, c AS (SELECT p, pos, neg,
+               COALESCE(SUM(neg) OVER (ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+                 AS below FROM g)
+, f AS (SELECT SUM(CAST(pos AS DOUBLE) * (CAST(below AS DOUBLE) + CAST(neg AS DOUBLE) / 2.0))
+                 / (CAST(SUM(pos) AS DOUBLE) * CAST(SUM(neg) AS DOUBLE)) AS auc,
+               CAST(SUM(pos) AS BIGINT) AS n_pos, CAST(SUM(neg) AS BIGINT) AS n_neg FROM c)
+SELECT * FROM f""")
+
+
+def train_test_union() -> str:
+    return _q(f"""
+, h AS (SELECT row_id, val, prior_question_elapsed_time,
+               CAST(SUM(1) OVER ({W_USER} {BEFORE}) AS BIGINT) AS cumlative_user_appearance,
+               CAST(SUM(answered_correctly) OVER ({W_USER} {BEFORE}) AS DOUBLE)
+               / NULLIF(CAST(SUM(1) OVER ({W_USER} {BEFORE}) AS DOUBLE), 0) AS mean_user_accuracy
+        FROM (SELECT tq.*, t.prior_question_elapsed_time FROM tq JOIN train t USING (row_id)))
+, f AS (
+  SELECT row_id, cumlative_user_appearance, mean_user_accuracy,
+         CAST(NULL AS DOUBLE) AS prior_question_elapsed_time, 0 AS target FROM h WHERE val = 0
+  UNION ALL
+  SELECT row_id, cumlative_user_appearance, CAST(NULL AS DOUBLE) AS mean_user_accuracy,
+         prior_question_elapsed_time, 1 AS target FROM h WHERE val = 1)
+SELECT * FROM f""")
+
+
+def top_k(matrix_sql: str, cols: list[str], k: int = 30) -> str:
+    per_fold = " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, \"Fold_val\" AS fold, CAST(COUNT(\"{c}\") AS DOUBLE) AS value "
+        f"FROM m GROUP BY \"Fold_val\"" for c in cols)
+    return f"""
+WITH m AS ({matrix_sql}), imp AS ({per_fold})
+, f0 AS (SELECT feature, value FROM imp WHERE fold = 0)
+, f1 AS (SELECT feature, value FROM imp WHERE fold = 1)
+SELECT f0.feature, (f0.value + f1.value) / 2.0 AS value
+FROM f0 JOIN f1 ON f0.feature = f1.feature
+ORDER BY value DESC, feature ASC LIMIT {int(k)}"""
