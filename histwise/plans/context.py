@@ -76,8 +76,5 @@ class FeatureContext:
 
 def with_previous(df: DataFrame, cols, by="user_id") -> DataFrame:
     """Add ``bef_<c>`` = previous row's ``c`` in the user's history."""
-    for c in cols:
-        name = f"bef_{c}"
-        if name not in df.columns:
-            df = df.withColumn(name, W.lag_of(c, by))
-    return df
+    new = {f"bef_{c}": W.lag_of(c, by) for c in cols if f"bef_{c}" not in df.columns}
+    return df.withColumns(new) if new else df

@@ -60,11 +60,11 @@ def variant(base: str, name: str, **params) -> Feature:
 
 
 def _history(frame, name, n, s):
-    return (frame.withColumn(f"{name}_cumlative_user_appearance", n)
-                 .withColumn(f"{name}_cumlative_user_corrected_answers", s)
-                 .withColumn(f"{name}_mean_user_accuracy",
-                             ratio(F.col(f"{name}_cumlative_user_corrected_answers"),
-                                   F.col(f"{name}_cumlative_user_appearance"))))
+    frame = frame.withColumns({f"{name}_cumlative_user_appearance": n,
+                               f"{name}_cumlative_user_corrected_answers": s})
+    return frame.withColumn(f"{name}_mean_user_accuracy",
+                            ratio(F.col(f"{name}_cumlative_user_corrected_answers"),
+                                  F.col(f"{name}_cumlative_user_appearance")))
 
 
 # --- F01-F04: row attributes --------------------------------------------------------
@@ -80,9 +80,9 @@ def target(ctx, frame, name):
 
 @feature("LabelEncoding", ["part", "prior_question_had_explanation"])
 def label_encoding(ctx, frame, name):
-    return (frame.withColumn(f"{name}_part", F.col("part"))
-                 .withColumn(f"{name}_prior_question_had_explanation",
-                             flag(F.col("prior_question_had_explanation"))))
+    return frame.withColumns({
+        f"{name}_part": F.col("part"),
+        f"{name}_prior_question_had_explanation": flag(F.col("prior_question_had_explanation"))})
 
 
 @feature("NumericFeatures", ["prior_question_elapsed_time"])
@@ -132,9 +132,8 @@ def content_accuracy(ctx, frame, name):
 @feature("ContentNumberOfAnswers", ["answers", "answered_users", "answers_per_user"])
 def content_answers(ctx, frame, name):
     frame = ctx.with_items(frame)
-    for c in ("answers", "answered_users", "answers_per_user"):
-        frame = frame.withColumn(f"{name}_{c}", F.col(f"_i_{c}"))
-    return frame
+    return frame.withColumns({f"{name}_{c}": F.col(f"_i_{c}")
+                              for c in ("answers", "answered_users", "answers_per_user")})
 
 
 AFTER_SECOND = ("answers_after_second_time", "answered_users_after_second_time",
@@ -145,9 +144,7 @@ AFTER_SECOND = ("answers_after_second_time", "answered_users_after_second_time",
 @feature("ContentNumberOfAnswersAfterSecondTime", AFTER_SECOND)
 def content_after_second(ctx, frame, name):
     frame = ctx.with_items(frame)
-    for c in AFTER_SECOND:
-        frame = frame.withColumn(f"{name}_{c}", F.col(f"_i_{c}"))
-    return frame
+    return frame.withColumns({f"{name}_{c}": F.col(f"_i_{c}") for c in AFTER_SECOND})
 
 
 # --- F10: previous problem ---------------------------------------------------------------
@@ -158,12 +155,11 @@ def user_last_solved(ctx, frame, name):
     acc = F.col("_i_mean_content_accuracy")
     frame = with_previous(frame, ("answered_correctly", "part"))
     frame = frame.withColumn("_prev_acc", W.lag_of(acc, USER))
-    return (frame
-            .withColumn(f"{name}_prior_answered_correctly", F.col("bef_answered_correctly"))
-            .withColumn(f"{name}_prior_same_part", flag(F.col("part") == F.col("bef_part")))
-            .withColumn(f"{name}_prior_mean_content_accuracy", F.col("_prev_acc"))
-            .withColumn(f"{name}_change_rate_mean_content_accuracy",
-                        change_rate(F.col("_prev_acc"), acc)))
+    return frame.withColumns({
+        f"{name}_prior_answered_correctly": F.col("bef_answered_correctly"),
+        f"{name}_prior_same_part": flag(F.col("part") == F.col("bef_part")),
+        f"{name}_prior_mean_content_accuracy": F.col("_prev_acc"),
+        f"{name}_change_rate_mean_content_accuracy": change_rate(F.col("_prev_acc"), acc)})
 
 
 # --- F11: lectures seen so far -----------------------------------------------------------
@@ -189,9 +185,9 @@ def user_lectured(ctx, frame, name):
     marks = lecture_marks(ctx).withColumn("_is_q", F.lit(False))
     rows = frame.withColumn("_is_q", F.lit(True))
     both = rows.unionByName(marks, allowMissingColumns=True)
-    for n in LECTURE_FLAGS:
-        both = both.withColumn(f"{name}_{n}",
-                               F.coalesce(W.seen_flag(F.col(f"_lf_{n}"), USER), F.lit(0)))
+    both = both.withColumns({
+        f"{name}_{n}": F.coalesce(W.seen_flag(F.col(f"_lf_{n}"), USER), F.lit(0))
+        for n in LECTURE_FLAGS})
     return both.where(F.col("_is_q")).drop("_is_q", *[f"_lf_{n}" for n in LECTURE_FLAGS])
 
 
@@ -202,22 +198,23 @@ def user_answered_in_past(ctx, frame, name):
     ac = F.col("answered_correctly")
     if "_u_before" not in frame.columns:
         frame = frame.withColumn("_u_before", W.running_count(USER))
-    frame = frame.withColumn("_uc_n", W.running_count(USER_ITEM, include_current=True))
-    frame = (frame.withColumn("_uc_before", W.running_count(USER_ITEM))
-                  .withColumn("_uc_ac_before", W.running_sum(ac.cast("long"), USER_ITEM))
-                  .withColumn("_uc_prev_ts", W.lag_of("timestamp", USER_ITEM))
-                  .withColumn("_uc_prev_u_before", W.lag_of("_u_before", USER_ITEM)))
     lags = W.lag_many("answered_correctly", USER_ITEM, N_SEQ)
+    frame = frame.withColumns({
+        "_uc_n": W.running_count(USER_ITEM, include_current=True),
+        "_uc_before": W.running_count(USER_ITEM),
+        "_uc_ac_before": W.running_sum(ac.cast("long"), USER_ITEM),
+        "_uc_prev_ts": W.lag_of("timestamp", USER_ITEM),
+        "_uc_prev_u_before": W.lag_of("_u_before", USER_ITEM),
+        "_uc_seq": seq2vec(lags)})
     diff_ts = F.col("timestamp") - F.col("_uc_prev_ts")
     diff_ans = F.col("_u_before") - F.col("_uc_prev_u_before") - 1
-    return (frame
-            .withColumn(f"{name}_number_of_answered_the_sampe_question", F.col("_uc_n") - 1)
-            .withColumn(f"{name}_mean_user_accuracy", ratio(F.col("_uc_ac_before"), F.col("_uc_before")))
-            .withColumn(f"{name}_diff_timestamp", diff_ts)
-            .withColumn(f"{name}_diff_answers", diff_ans)
-            .withColumn(f"{name}_differential",
-                        F.when(diff_ans == 0, F.lit(-999.0)).otherwise(ratio(diff_ts, diff_ans)))
-            .withColumn(f"{name}_seq2vec", seq2vec(lags)))
+    return frame.withColumns({
+        f"{name}_number_of_answered_the_sampe_question": F.col("_uc_n") - 1,
+        f"{name}_mean_user_accuracy": ratio(F.col("_uc_ac_before"), F.col("_uc_before")),
+        f"{name}_diff_timestamp": diff_ts,
+        f"{name}_diff_answers": diff_ans,
+        f"{name}_differential": F.when(diff_ans == 0, F.lit(-999.0)).otherwise(ratio(diff_ts, diff_ans)),
+        f"{name}_seq2vec": F.col("_uc_seq")})
 
 
 # --- F13: similarity to the previous item --------------------------------------------------
