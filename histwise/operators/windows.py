@@ -74,3 +74,70 @@ def seen_flag(flag: Column, by, time: str = "timestamp") -> Column:
     spec = (Window.partitionBy(*_cols(by)).orderBy(time)
             .rangeBetween(Window.unboundedPreceding, Window.currentRow))
     return F.max(flag).over(spec)
+
+
+# --- declared window needs ------------------------------------------------------------------
+from dataclasses import dataclass, field  # noqa: E402
+
+
+@dataclass
+class Spec:
+    """Window columns wanted over one key family, ordered by ``(timestamp, row_id)``.
+
+    ``count_before``  SUM(1) over earlier rows (NULL on the first row)
+    ``count_incl``    SUM(1) up to and including the row
+    ``sums_before``   SUM(value) over earlier rows
+    ``lags``          value ``d`` rows back: name -> (column, d)
+    ``slides``        SUM(value) over the ``width`` rows before: name -> (value, width)
+    ``slide_counts``  SUM(1) over the ``width`` rows before: name -> width
+    """
+
+    key: tuple[str, ...]
+    count_before: list[str] = field(default_factory=list)
+    count_incl: list[str] = field(default_factory=list)
+    sums_before: dict = field(default_factory=dict)
+    lags: dict = field(default_factory=dict)
+    slides: dict = field(default_factory=dict)
+    slide_counts: dict = field(default_factory=dict)
+
+    def merge(self, other: "Spec") -> "Spec":
+        if other.key != self.key:
+            raise ValueError("different keys")
+        return Spec(self.key,
+                    sorted(set(self.count_before) | set(other.count_before)),
+                    sorted(set(self.count_incl) | set(other.count_incl)),
+                    {**self.sums_before, **other.sums_before},
+                    {**self.lags, **other.lags},
+                    {**self.slides, **other.slides},
+                    {**self.slide_counts, **other.slide_counts})
+
+    def outputs(self) -> list[str]:
+        return (list(self.count_before) + list(self.count_incl) + list(self.sums_before)
+                + list(self.lags) + list(self.slides) + list(self.slide_counts))
+
+
+def merge_specs(specs) -> list[Spec]:
+    """One Spec per key, in first-seen key order."""
+    out: dict = {}
+    for s in specs:
+        out[s.key] = out[s.key].merge(s) if s.key in out else s
+    return list(out.values())
+
+
+def evaluate(frame, spec: Spec, order: Sequence[str] = ORDER):
+    """Plain window evaluation: one Window operator per frame shape, all keyed by ``spec.key``."""
+    by = list(spec.key)
+    cols = {}
+    for n in spec.count_before:
+        cols[n] = running_count(by, order)
+    for n in spec.count_incl:
+        cols[n] = running_count(by, order, include_current=True)
+    for n, v in spec.sums_before.items():
+        cols[n] = running_sum(v, by, order)
+    for n, (c, d) in spec.lags.items():
+        cols[n] = lag_of(c, by, d, order)
+    for n, (v, width) in spec.slides.items():
+        cols[n] = sliding_sum(v, by, width, order)
+    for n, width in spec.slide_counts.items():
+        cols[n] = sliding_count(by, width, order)
+    return frame.withColumns(cols) if cols else frame

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from histwise.plans import oracle
 from histwise.plans.context import FeatureContext
-from histwise.plans.features import REGISTRY, feature_frame, variant
+from histwise.plans.features import REGISTRY, build_features, feature_frame, variant
 from histwise.sources.testdata import load_inputs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,7 +104,6 @@ def feature_matrix_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- composite queries ----------------------------------------------------------------
-from histwise.functions.exprs import ratio  # noqa: E402
 from histwise.operators import drift, matrix as M, metrics  # noqa: E402
 from histwise.operators import windows as W  # noqa: E402
 from histwise.operators.model import predict_mean, top_k  # noqa: E402
@@ -164,21 +163,20 @@ def q_odds_weight(spark, sf_dir):
 
 @register("attempt_number", oracle.attempt_number)
 def q_attempt_number(spark, sf_dir):
-    base = context(spark, sf_dir).base()
-    return base.select("row_id", W.occurrence_no(("user_id", "content_id")).cast("long")
-                       .alias("attempt_no"))
+    ctx = context(spark, sf_dir)
+    spec = W.Spec(("user_id", "content_id"), count_incl=["_attempt"])
+    return ctx.windows(ctx.base(), [spec]).select("row_id", F.col("_attempt").alias("attempt_no"))
 
 
 def _two_scores(spark, sf_dir):
     """Item accuracy and running user accuracy as two deterministic per-row scores."""
     ctx = context(spark, sf_dir)
-    frame = ctx.with_items(ctx.base())
+    f = REGISTRY["UserCumulativeUserInteractions"]
+    frame = build_features(ctx, [REGISTRY["ContentAverageCorrectedAnswers"], f])
     a = frame.select("row_id", F.col("answered_correctly").alias("label"), "val",
                      F.col("_i_mean_content_accuracy").alias("score"))
-    b = ctx.base().select(
-        "row_id", F.col("answered_correctly").alias("label"), "val",
-        ratio(W.running_sum(F.col("answered_correctly").cast("long"), "user_id"),
-              W.running_count("user_id")).alias("score"))
+    b = frame.select("row_id", F.col("answered_correctly").alias("label"), "val",
+                     F.col(f.out("mean_user_accuracy")).alias("score"))
     return a, b
 
 
@@ -198,7 +196,7 @@ def q_auc_exact(spark, sf_dir):
 def q_train_test_union(spark, sf_dir):
     ctx = context(spark, sf_dir)
     f = REGISTRY["UserCumulativeUserInteractions"]
-    h = f.apply(ctx, ctx.base()).select(
+    h = build_features(ctx, [f]).select(
         "row_id", "val", "prior_question_elapsed_time",
         F.col(f.out("cumlative_user_appearance")).alias("cumlative_user_appearance"),
         F.col(f.out("mean_user_accuracy")).alias("mean_user_accuracy"))

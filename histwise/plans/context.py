@@ -1,4 +1,4 @@
-"""Shared state of one feature job: inputs, parameters, memoised aggregates."""
+"""Shared state of one feature job: inputs, skew policy, memoised aggregates."""
 
 from __future__ import annotations
 
@@ -7,7 +7,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from histwise.operators import item_stats, windows as W
+from histwise.operators import item_stats, skew
+from histwise.operators import windows as W
+from histwise.plans import evaluate as E
 from histwise.session import ensure_checkpoint_dir
 from histwise.sources.inputs import Inputs, bounded_broadcast, with_val_flag
 
@@ -19,10 +21,14 @@ ITEM_COLUMNS = ("answers", "answered_users", "answers_per_user", "answers_after_
                 "answered_user_rate_after_second_time", "answers_per_user_after_second_time",
                 "mean_content_accuracy", "weight")
 
+PREVIOUS = ("content_id", "part", "answered_correctly", "val")
+
 
 @dataclass
 class FeatureContext:
     inputs: Inputs
+    # None disables the hot-user path (every user takes plain windows).
+    policy: skew.SkewPolicy | None = field(default_factory=skew.SkewPolicy)
     # Materialise small aggregates with checkpoint() so their size is known before
     # they are broadcast and their lineage is cut (survives executor loss).
     materialise: bool = True
@@ -49,6 +55,22 @@ class FeatureContext:
             return with_val_flag(q, self.inputs.val_side())
         return self._once("base", build)
 
+    def marks(self) -> DataFrame:
+        """Lecture marks per (user, timestamp) for the lecture flags."""
+        return self._once("marks", lambda: E.lecture_marks(self.inputs.train_full()))
+
+    def hot(self) -> skew.HotSplit | None:
+        """Users whose history (questions + lecture marks) exceeds the policy threshold."""
+        def build():
+            if self.policy is None:
+                return None
+            users = self.base().select("user_id").unionByName(self.marks().select("user_id"))
+            return skew.hot_keys(users, ("user_id",), self.policy)
+        return self._once("hot", build)
+
+    def windows(self, rows: DataFrame, specs, lectures: bool = False) -> DataFrame:
+        return E.compute_windows(rows, specs, self.marks() if lectures else None, self.hot())
+
     # -- item aggregates (one row per item) -------------------------------------
     def items(self) -> DataFrame:
         def build():
@@ -68,13 +90,12 @@ class FeatureContext:
         def build():
             tq = self.base().select("row_id", "user_id", "timestamp", "content_id",
                                     "answered_correctly", "part", "val")
-            lagged = with_previous(tq, ("content_id", "part", "answered_correctly", "val"))
+            lagged = self.windows(tq, [previous_spec(PREVIOUS)])
             agg = item_stats.conditional_mean(lagged, min_support)
             return bounded_broadcast(self._fix(agg))
         return self._once(("posterior", min_support), build)
 
 
-def with_previous(df: DataFrame, cols, by="user_id") -> DataFrame:
-    """Add ``bef_<c>`` = previous row's ``c`` in the user's history."""
-    new = {f"bef_{c}": W.lag_of(c, by) for c in cols if f"bef_{c}" not in df.columns}
-    return df.withColumns(new) if new else df
+def previous_spec(cols) -> W.Spec:
+    """``bef_<c>`` = the previous row's ``c`` in the user's history."""
+    return W.Spec(("user_id",), lags={f"bef_{c}": (c, 1) for c in cols})

@@ -1,9 +1,15 @@
 """The feature registry (X1) and the seventeen feature operators.
 
-A feature is a function ``(ctx, frame) -> frame`` that adds its columns,
-named ``{Name}_{column}``, to the frame of question rows. Helper columns
-start with ``_``. The same functions serve the per-feature jobs and the
-fused matrix job, so both give the same values.
+A feature declares what it needs and how it finishes:
+
+* ``specs(params)``  window columns over key families (:class:`windows.Spec`),
+* ``items`` / ``lectures``  whether item statistics / lecture flags are needed,
+* ``finish(ctx, frame, name, **params)``  its output columns ``{Name}_{column}``
+  from those helper columns (plain expressions and joins, no windows).
+
+The evaluator computes the union of all window needs once (skew-aware, see
+``plans.evaluate``), so the per-feature jobs and the fused matrix job run
+the same code and give the same values.
 """
 
 from __future__ import annotations
@@ -16,39 +22,48 @@ from pyspark.sql import functions as F
 
 from histwise.functions.exprs import change_rate, flag, ratio, seq2vec
 from histwise.functions.vectors import cosine
-from histwise.operators import windows as W
-from histwise.plans.context import FeatureContext, with_previous
-from histwise.sources.testdata import LECTURE_TYPES
+from histwise.operators.windows import Spec
+from histwise.plans.context import FeatureContext, previous_spec
+from histwise.plans.evaluate import LECTURE_FLAGS, SEEN
 
 USER = ("user_id",)
 USER_PART = ("user_id", "part")
 USER_ITEM = ("user_id", "content_id")
 HISTORY = ("cumlative_user_appearance", "cumlative_user_corrected_answers", "mean_user_accuracy")
-N_PARTS = 7
 N_SEQ = 10
 
 
+def _no_specs(**_):
+    return []
+
+
 @dataclass(frozen=True)
 class Feature:
     name: str
     columns: tuple[str, ...]
-    build: Callable[..., DataFrame]
+    finish: Callable[..., DataFrame]
+    specs: Callable[..., list] = _no_specs
     params: dict = field(default_factory=dict)
-
-    def apply(self, ctx: FeatureContext, frame: DataFrame) -> DataFrame:
-        return self.build(ctx, frame, self.name, **self.params)
+    items: bool = False
+    lectures: bool = False
 
     def out(self, col: str) -> str:
         return f"{self.name}_{col}"
 
+    def window_specs(self) -> list[Spec]:
+        return self.specs(**self.params)
+
+    def apply(self, ctx: FeatureContext, frame: DataFrame) -> DataFrame:
+        return self.finish(ctx, frame, self.name, **self.params)
+
 
 REGISTRY: dict[str, Feature] = {}
 
 
-def feature(name: str, columns, **params):
-    """Register ``fn(ctx, frame, name, **params)`` as feature ``name``."""
+def feature(name: str, columns, specs=_no_specs, items=False, lectures=False, **params):
+    """Register ``finish(ctx, frame, name, **params)`` as feature ``name``."""
     def wrap(fn):
-        REGISTRY[name] = Feature(name, tuple(columns), fn, params)
+        REGISTRY[name] = Feature(name, tuple(columns), fn, specs, params, items, lectures)
         return fn
     return wrap
 
@@ -56,18 +71,25 @@ def feature(name: str, columns, **params):
 def variant(base: str, name: str, **params) -> Feature:
     """The same operator under another name with other parameters (e.g. width 5)."""
     f = REGISTRY[base]
-    return Feature(name, f.columns, f.build, {**f.params, **params})
+    return Feature(name, f.columns, f.finish, f.specs, {**f.params, **params}, f.items, f.lectures)
 
 
 def _history(frame, name, n, s):
-    frame = frame.withColumns({f"{name}_cumlative_user_appearance": n,
-                               f"{name}_cumlative_user_corrected_answers": s})
-    return frame.withColumn(f"{name}_mean_user_accuracy",
-                            ratio(F.col(f"{name}_cumlative_user_corrected_answers"),
-                                  F.col(f"{name}_cumlative_user_appearance")))
+    return frame.withColumns({
+        f"{name}_cumlative_user_appearance": F.col(n),
+        f"{name}_cumlative_user_corrected_answers": F.col(s),
+        f"{name}_mean_user_accuracy": ratio(F.col(s), F.col(n))})
+
+
+def _tag(by) -> str:
+    return "u" if tuple(by) == USER else "up"
 
 
-# --- F01-F04: row attributes --------------------------------------------------------
+def _ac():
+    return F.col("answered_correctly")
+
+
+# --- F01-F04: row attributes --------------------------------------------------------------
 @feature("Fold", ["val"])
 def fold(ctx, frame, name):
     return frame.withColumn(f"{name}_val", F.col("val"))
@@ -75,7 +97,7 @@ def fold(ctx, frame, name):
 
 @feature("Target", ["answered_correctly"])
 def target(ctx, frame, name):
-    return frame.withColumn(f"{name}_answered_correctly", F.col("answered_correctly"))
+    return frame.withColumn(f"{name}_answered_correctly", _ac())
 
 
 @feature("LabelEncoding", ["part", "prior_question_had_explanation"])
@@ -91,47 +113,66 @@ def numeric_features(ctx, frame, name):
                             F.col("prior_question_elapsed_time"))
 
 
-# --- F05, F09, F14: running and sliding history ---------------------------------------
-@feature("UserCumulativeUserInteractions", HISTORY, by=USER)
+# --- F05, F09: running history --------------------------------------------------------------
+def _running_specs(by):
+    t = _tag(by)
+    return [Spec(tuple(by), count_before=[f"_{t}_before"],
+                 sums_before={f"_{t}_ac_before": _ac().cast("long")})]
+
+
+@feature("UserCumulativeUserInteractions", HISTORY, specs=_running_specs, by=USER)
 def user_cumulative(ctx, frame, name, by):
-    return _history(frame, name, W.running_count(by),
-                    W.running_sum(F.col("answered_correctly").cast("long"), by))
+    t = _tag(by)
+    return _history(frame, name, f"_{t}_before", f"_{t}_ac_before")
 
 
 REGISTRY["UserCumulativeUserInteractionsByPart"] = Feature(
-    "UserCumulativeUserInteractionsByPart", HISTORY, user_cumulative, {"by": USER_PART})
+    "UserCumulativeUserInteractionsByPart", HISTORY, user_cumulative, _running_specs,
+    {"by": USER_PART})
 
 
-@feature("UserCumulativeUserInteractionsByPartWindowSize100", HISTORY, by=USER_PART, width=100)
+# --- F14: sliding history ---------------------------------------------------------------------
+def _sliding_specs(by, width):
+    t = _tag(by)
+    return [Spec(tuple(by), slide_counts={f"_{t}_n_w{width}": width},
+                 slides={f"_{t}_ac_w{width}": (_ac().cast("long"), width)})]
+
+
+@feature("UserCumulativeUserInteractionsByPartWindowSize100", HISTORY, specs=_sliding_specs,
+         by=USER_PART, width=100)
 def user_sliding(ctx, frame, name, by, width):
-    return _history(frame, name, W.sliding_count(by, width),
-                    W.sliding_sum(F.col("answered_correctly").cast("long"), by, width))
+    t = _tag(by)
+    return _history(frame, name, f"_{t}_n_w{width}", f"_{t}_ac_w{width}")
 
 
-# --- F15, F16: weighted sliding history ----------------------------------------------
-@feature("UserCumulativeUserInteractionsWeightedWindowSize100", HISTORY, by=USER, width=100)
-def user_weighted(ctx, frame, name, by, width):
-    frame = ctx.with_items(frame)
+# --- F15, F16: weighted sliding history --------------------------------------------------------
+def _weighted_specs(by, width):
+    t = _tag(by)
     w = F.col("_i_weight")
-    return _history(frame, name, W.sliding_sum(w, by, width),
-                    W.sliding_sum(F.col("answered_correctly") * w, by, width))
+    return [Spec(tuple(by), slides={f"_{t}_w_w{width}": (w, width),
+                                    f"_{t}_wac_w{width}": (_ac() * w, width)})]
+
+
+@feature("UserCumulativeUserInteractionsWeightedWindowSize100", HISTORY, specs=_weighted_specs,
+         items=True, by=USER, width=100)
+def user_weighted(ctx, frame, name, by, width):
+    t = _tag(by)
+    return _history(frame, name, f"_{t}_w_w{width}", f"_{t}_wac_w{width}")
 
 
 REGISTRY["UserCumulativeUserInteractionsByPartWeightedWindowSize100"] = Feature(
     "UserCumulativeUserInteractionsByPartWeightedWindowSize100", HISTORY, user_weighted,
-    {"by": USER_PART, "width": 100})
+    _weighted_specs, {"by": USER_PART, "width": 100}, items=True)
 
 
-# --- F06-F08: item statistics ---------------------------------------------------------
-@feature("ContentAverageCorrectedAnswers", ["mean_content_accuracy"])
+# --- F06-F08: item statistics -------------------------------------------------------------------
+@feature("ContentAverageCorrectedAnswers", ["mean_content_accuracy"], items=True)
 def content_accuracy(ctx, frame, name):
-    frame = ctx.with_items(frame)
     return frame.withColumn(f"{name}_mean_content_accuracy", F.col("_i_mean_content_accuracy"))
 
 
-@feature("ContentNumberOfAnswers", ["answers", "answered_users", "answers_per_user"])
+@feature("ContentNumberOfAnswers", ["answers", "answered_users", "answers_per_user"], items=True)
 def content_answers(ctx, frame, name):
-    frame = ctx.with_items(frame)
     return frame.withColumns({f"{name}_{c}": F.col(f"_i_{c}")
                               for c in ("answers", "answered_users", "answers_per_user")})
 
@@ -141,20 +182,22 @@ AFTER_SECOND = ("answers_after_second_time", "answered_users_after_second_time",
                 "answers_per_user_after_second_time")
 
 
-@feature("ContentNumberOfAnswersAfterSecondTime", AFTER_SECOND)
+@feature("ContentNumberOfAnswersAfterSecondTime", AFTER_SECOND, items=True)
 def content_after_second(ctx, frame, name):
-    frame = ctx.with_items(frame)
     return frame.withColumns({f"{name}_{c}": F.col(f"_i_{c}") for c in AFTER_SECOND})
 
 
-# --- F10: previous problem ---------------------------------------------------------------
+# --- F10: previous problem ------------------------------------------------------------------------
+def _last_solved_specs():
+    return [previous_spec(("answered_correctly", "part")),
+            Spec(USER, lags={"_prev_acc": ("_i_mean_content_accuracy", 1)})]
+
+
 @feature("UserLastSolvedProblem", ["prior_answered_correctly", "prior_same_part",
-                                   "prior_mean_content_accuracy", "change_rate_mean_content_accuracy"])
+                                   "prior_mean_content_accuracy", "change_rate_mean_content_accuracy"],
+         specs=_last_solved_specs, items=True)
 def user_last_solved(ctx, frame, name):
-    frame = ctx.with_items(frame)
     acc = F.col("_i_mean_content_accuracy")
-    frame = with_previous(frame, ("answered_correctly", "part"))
-    frame = frame.withColumn("_prev_acc", W.lag_of(acc, USER))
     return frame.withColumns({
         f"{name}_prior_answered_correctly": F.col("bef_answered_correctly"),
         f"{name}_prior_same_part": flag(F.col("part") == F.col("bef_part")),
@@ -162,65 +205,42 @@ def user_last_solved(ctx, frame, name):
         f"{name}_change_rate_mean_content_accuracy": change_rate(F.col("_prev_acc"), acc)})
 
 
-# --- F11: lectures seen so far -----------------------------------------------------------
-LECTURE_FLAGS = (["is_lecture"] + [f"is_lecture_part_{p}" for p in range(1, N_PARTS + 1)]
-                 + [f"is_lecture_type_of_{t.replace(' ', '_')}" for t in LECTURE_TYPES])
+# --- F11: lectures seen so far (up to and including this timestamp) --------------------------------
+@feature("UserLecturedAtLeastOnce", LECTURE_FLAGS, lectures=True)
+def user_lectured(ctx, frame, name):
+    return frame.withColumns({f"{name}_{n}": F.coalesce(F.col(s), F.lit(0))
+                              for s, n in zip(SEEN, LECTURE_FLAGS)})
 
 
-def lecture_marks(ctx: FeatureContext) -> DataFrame:
-    """Lecture rows reduced to one row per (user, timestamp) with the 12 flags (max)."""
-    full = ctx.inputs.train_full().where(F.col("content_type_id") == 1)
-    exprs = [F.lit(1)]
-    exprs += [flag(F.col("lecture_part") == p) for p in range(1, N_PARTS + 1)]
-    exprs += [flag(F.col("lecture_type_of") == t) for t in LECTURE_TYPES]
-    return full.groupBy("user_id", "timestamp").agg(
-        *[F.max(e).alias(f"_lf_{n}") for e, n in zip(exprs, LECTURE_FLAGS)])
+# --- F12: the same item in the past ------------------------------------------------------------------
+def _past_specs():
+    return [Spec(USER, count_before=["_u_before"]),
+            Spec(USER_ITEM, count_incl=["_uc_n"], count_before=["_uc_before"],
+                 sums_before={"_uc_ac_before": _ac().cast("long")},
+                 lags={"_uc_prev_ts": ("timestamp", 1), "_uc_prev_u_before": ("_u_before", 1),
+                       **{f"_uc_lag_{i}": ("answered_correctly", i) for i in range(1, N_SEQ + 1)}})]
 
 
-@feature("UserLecturedAtLeastOnce", LECTURE_FLAGS)
-def user_lectured(ctx, frame, name):
-    # Question rows and per-timestamp lecture marks in one stream; a RANGE max up to and
-    # including the row's timestamp sees lectures of the same timestamp (peers), then the
-    # lecture marks are filtered out again (P7: the filter stays above the window).
-    marks = lecture_marks(ctx).withColumn("_is_q", F.lit(False))
-    rows = frame.withColumn("_is_q", F.lit(True))
-    both = rows.unionByName(marks, allowMissingColumns=True)
-    both = both.withColumns({
-        f"{name}_{n}": F.coalesce(W.seen_flag(F.col(f"_lf_{n}"), USER), F.lit(0))
-        for n in LECTURE_FLAGS})
-    return both.where(F.col("_is_q")).drop("_is_q", *[f"_lf_{n}" for n in LECTURE_FLAGS])
-
-
-# --- F12: the same item in the past --------------------------------------------------------
 @feature("UserAnsweredInThePast", ["number_of_answered_the_sampe_question", "mean_user_accuracy",
-                                   "diff_timestamp", "diff_answers", "differential", "seq2vec"])
+                                   "diff_timestamp", "diff_answers", "differential", "seq2vec"],
+         specs=_past_specs)
 def user_answered_in_past(ctx, frame, name):
-    ac = F.col("answered_correctly")
-    if "_u_before" not in frame.columns:
-        frame = frame.withColumn("_u_before", W.running_count(USER))
-    lags = W.lag_many("answered_correctly", USER_ITEM, N_SEQ)
-    frame = frame.withColumns({
-        "_uc_n": W.running_count(USER_ITEM, include_current=True),
-        "_uc_before": W.running_count(USER_ITEM),
-        "_uc_ac_before": W.running_sum(ac.cast("long"), USER_ITEM),
-        "_uc_prev_ts": W.lag_of("timestamp", USER_ITEM),
-        "_uc_prev_u_before": W.lag_of("_u_before", USER_ITEM),
-        "_uc_seq": seq2vec(lags)})
     diff_ts = F.col("timestamp") - F.col("_uc_prev_ts")
     diff_ans = F.col("_u_before") - F.col("_uc_prev_u_before") - 1
+    lags = [F.col(f"_uc_lag_{i}") for i in range(1, N_SEQ + 1)]
     return frame.withColumns({
         f"{name}_number_of_answered_the_sampe_question": F.col("_uc_n") - 1,
         f"{name}_mean_user_accuracy": ratio(F.col("_uc_ac_before"), F.col("_uc_before")),
         f"{name}_diff_timestamp": diff_ts,
         f"{name}_diff_answers": diff_ans,
         f"{name}_differential": F.when(diff_ans == 0, F.lit(-999.0)).otherwise(ratio(diff_ts, diff_ans)),
-        f"{name}_seq2vec": F.col("_uc_seq")})
+        f"{name}_seq2vec": seq2vec(lags)})
 
 
-# --- F13: similarity to the previous item --------------------------------------------------
-@feature("UserLastSolvedProblemSimilarity", ["similarity"])
+# --- F13: similarity to the previous item ----------------------------------------------------------
+@feature("UserLastSolvedProblemSimilarity", ["similarity"],
+         specs=lambda: [previous_spec(("content_id",))])
 def user_similarity(ctx, frame, name):
-    frame = with_previous(frame, ("content_id",))
     emb = ctx.inputs.embeddings_side()
     cur = emb.select(F.col("content_id").alias("_e_cid"), F.col("vec").alias("_vec_cur"))
     prev = emb.select(F.col("content_id").alias("_e_pid"), F.col("vec").alias("_vec_prev"))
@@ -230,11 +250,11 @@ def user_similarity(ctx, frame, name):
                  .drop("_vec_cur", "_vec_prev"))
 
 
-# --- F17: conditional accuracy given the previous answer -----------------------------------
+# --- F17: conditional accuracy given the previous answer --------------------------------------------
 @feature("ContentAverageCorrectedAnswersPosterior", ["mean_content_accuracy", "size"],
+         specs=lambda min_support: [previous_spec(("content_id", "answered_correctly"))],
          min_support=100)
 def content_posterior(ctx, frame, name, min_support):
-    frame = with_previous(frame, ("content_id", "answered_correctly"))
     agg = ctx.posterior(min_support).select(
         F.col("bef_answered_correctly").alias("_p_ac"), F.col("bef_content_id").alias("_p_cid"),
         F.col("content_id").alias("_p_item"),
@@ -245,8 +265,6 @@ def content_posterior(ctx, frame, name, min_support):
     return frame.join(agg, cond, "left").drop("_p_ac", "_p_cid", "_p_item")
 
 
-# Order used by the fused job: the lecture union first (it changes the row set), then
-# user-level windows, then (user, part) and (user, item) windows, then joins on lags.
 MATRIX_FEATURES = (
     "LabelEncoding", "NumericFeatures", "UserCumulativeUserInteractions",
     "ContentAverageCorrectedAnswers", "ContentNumberOfAnswers",
@@ -257,21 +275,24 @@ MATRIX_FEATURES = (
     "UserCumulativeUserInteractionsWeightedWindowSize100",
     "ContentAverageCorrectedAnswersPosterior",
 )
-EVAL_ORDER = (
-    "UserLecturedAtLeastOnce", "Fold", "Target", "LabelEncoding", "NumericFeatures",
-    "ContentAverageCorrectedAnswers", "ContentNumberOfAnswers",
-    "ContentNumberOfAnswersAfterSecondTime",
-    "UserCumulativeUserInteractions", "UserLastSolvedProblem",
-    "UserLastSolvedProblemSimilarity", "UserCumulativeUserInteractionsWeightedWindowSize100",
-    "UserAnsweredInThePast",
-    "UserCumulativeUserInteractionsByPart", "UserCumulativeUserInteractionsByPartWindowSize100",
-    "UserCumulativeUserInteractionsByPartWeightedWindowSize100",
-    "ContentAverageCorrectedAnswersPosterior",
-)
+
+
+def build_features(ctx: FeatureContext, feats: list[Feature]) -> DataFrame:
+    """Question rows + the columns of ``feats``: item join, one window pass, finishing."""
+    frame = ctx.base()
+    if any(f.items for f in feats):
+        frame = ctx.with_items(frame)
+    specs = [s for f in feats for s in f.window_specs()]
+    lectures = any(f.lectures for f in feats)
+    if specs or lectures:
+        frame = ctx.windows(frame, specs, lectures)
+    for f in feats:
+        frame = f.apply(ctx, frame)
+    return frame
 
 
 def feature_frame(ctx: FeatureContext, feat: Feature | str) -> DataFrame:
     """One feature as ``row_id`` + its columns without prefix (M1)."""
     f = REGISTRY[feat] if isinstance(feat, str) else feat
-    frame = f.apply(ctx, ctx.base())
+    frame = build_features(ctx, [f])
     return frame.select("row_id", *[F.col(f.out(c)).alias(c) for c in f.columns])

@@ -1,7 +1,9 @@
 """The fused feature job: all features of a run in one plan.
 
-All user windows share one hash exchange on ``user_id`` (the lecture union
-of F11 sets it up, the filter after it keeps it). Item statistics and side
+The window needs of all features are merged and evaluated once: for cold
+users all windows share one hash exchange on ``user_id`` (the lecture union
+of F11 sets it up, the filter after it keeps it); hot users go through the
+blocked path (``plans.evaluate``). Item statistics and side
 tables are size-checked broadcasts, so they add no exchange on the row
 side. The posterior join is the one extra exchange; AQE turns it into a
 broadcast when the aggregate is small at runtime.
@@ -14,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from histwise.plans.context import FeatureContext
-from histwise.plans.features import EVAL_ORDER, MATRIX_FEATURES, REGISTRY
+from histwise.plans.features import MATRIX_FEATURES, REGISTRY, build_features
 
 LABEL = "Target_answered_correctly"
 FOLD = "Fold_val"
@@ -32,8 +34,5 @@ def feature_matrix(ctx: FeatureContext, names: Sequence[str] = MATRIX_FEATURES,
         raise KeyError(f"unknown features {unknown}")
     wanted = (["Fold", "Target"] if with_target else []) + [n for n in names
                                                               if n not in ("Fold", "Target")]
-    frame = ctx.base()
-    for n in EVAL_ORDER:
-        if n in wanted:
-            frame = REGISTRY[n].apply(ctx, frame)
+    frame = build_features(ctx, [REGISTRY[n] for n in wanted])
     return frame.select("row_id", *matrix_columns(wanted))
