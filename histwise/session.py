@@ -25,6 +25,8 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # small local inputs: let AQE keep one partition per core
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256KB")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
