@@ -124,9 +124,36 @@ def merge_specs(specs) -> list[Spec]:
     return list(out.values())
 
 
+EXACT_DECIMAL = "decimal(38,18)"
+INTEGRAL = ("tinyint", "smallint", "int", "bigint", "boolean")
+
+
+def exact_type(frame, value: Column) -> tuple[str, str]:
+    """(value type, exact summing type): long for integers, decimal(38,18) otherwise."""
+    t = frame.select(value.alias("_v")).schema["_v"].dataType.simpleString()
+    return t, ("bigint" if t in INTEGRAL else EXACT_DECIMAL)
+
+
 def evaluate(frame, spec: Spec, order: Sequence[str] = ORDER):
-    """Plain window evaluation: one Window operator per frame shape, all keyed by ``spec.key``."""
+    """Plain window evaluation, all keyed by ``spec.key`` (one exchange, one sort per key).
+
+    Sliding sums are differences of exact prefix sums (``long``, or ``decimal(38,18)`` for
+    floating values) read through a ``lag``: O(1) work per row instead of re-summing a
+    ``width``-row frame for every row. Frames holding only NULLs stay NULL.
+    """
     by = list(spec.key)
+    if spec.slides:
+        w = ordered(by, order)
+        before = w.rowsBetween(Window.unboundedPreceding, -1)
+        prefix, outs = {}, {}
+        for i, (n, (v, width)) in enumerate(spec.slides.items()):
+            vt, et = exact_type(frame, v)
+            prefix[f"_spb{i}"] = F.sum(F.coalesce(v.cast(et), F.lit(0).cast(et))).over(before)
+            prefix[f"_scb{i}"] = F.sum(v.isNotNull().cast("long")).over(before)
+            s = F.col(f"_spb{i}") - F.coalesce(F.lag(f"_spb{i}", width).over(w), F.lit(0).cast(et))
+            c = F.col(f"_scb{i}") - F.coalesce(F.lag(f"_scb{i}", width).over(w), F.lit(0).cast("long"))
+            outs[n] = F.when(c > 0, s).cast(vt)
+        frame = frame.withColumns(prefix).withColumns(outs).drop(*prefix)
     cols = {}
     for n in spec.count_before:
         cols[n] = running_count(by, order)
@@ -136,8 +163,7 @@ def evaluate(frame, spec: Spec, order: Sequence[str] = ORDER):
         cols[n] = running_sum(v, by, order)
     for n, (c, d) in spec.lags.items():
         cols[n] = lag_of(c, by, d, order)
-    for n, (v, width) in spec.slides.items():
-        cols[n] = sliding_sum(v, by, width, order)
     for n, width in spec.slide_counts.items():
-        cols[n] = sliding_count(by, width, order)
+        n_before = running_count(by, order)
+        cols[n] = F.when(n_before.isNotNull(), F.least(n_before, F.lit(width).cast("long")))
     return frame.withColumns(cols) if cols else frame

@@ -48,6 +48,19 @@ def assert_unique(df: DataFrame, key: str | list[str], what: str) -> None:
         raise DuplicateKeyError(f"{what}: key {keys} is not unique, e.g. {dup[0].asDict()}")
 
 
+def checked_side(df: DataFrame, key: str, what: str, check: bool = True,
+                 max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Side table with a unique key: one job gives its size and the uniqueness check;
+    broadcast under ``max_rows``, otherwise left to the planner."""
+    if not check:
+        return bounded_broadcast(df, max_rows)
+    stats = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_c"))
+               .agg(F.sum("_c").alias("rows"), F.max("_c").alias("dup")).first())
+    if (stats["dup"] or 0) > 1:
+        raise DuplicateKeyError(f"{what}: key {key} is not unique")
+    return F.broadcast(df) if (stats["rows"] or 0) <= max_rows else df
+
+
 @dataclass
 class Inputs:
     """The five input tables plus memoised derived tables."""
@@ -73,9 +86,7 @@ class Inputs:
     def questions_side(self) -> DataFrame:
         def build():
             q = self.questions.select(F.col("question_id").cast("long"), F.col("part").cast("int"))
-            if self.check_keys:
-                assert_unique(q, "question_id", "questions")
-            return bounded_broadcast(q)
+            return checked_side(q, "question_id", "questions", self.check_keys)
         return self._memo("questions_side", build)
 
     def lectures_side(self) -> DataFrame:
@@ -84,25 +95,19 @@ class Inputs:
                 F.col("lecture_id").cast("long"),
                 F.col("part").cast("int").alias("lecture_part"),
                 F.col("type_of").alias("lecture_type_of"))
-            if self.check_keys:
-                assert_unique(lec, "lecture_id", "lectures")
-            return bounded_broadcast(lec)
+            return checked_side(lec, "lecture_id", "lectures", self.check_keys)
         return self._memo("lectures_side", build)
 
     def val_side(self) -> DataFrame:
         def build():
             v = self.val_row_id.select(F.col("row_id").cast("long"), F.lit(1).alias("_in_val"))
-            if self.check_keys:
-                assert_unique(v, "row_id", "val_row_id")
-            return bounded_broadcast(v)
+            return checked_side(v, "row_id", "val_row_id", self.check_keys)
         return self._memo("val_side", build)
 
     def embeddings_side(self) -> DataFrame:
         def build():
             e = self.embeddings.select(F.col("content_id").cast("long"), F.col("vec"))
-            if self.check_keys:
-                assert_unique(e, "content_id", "embeddings")
-            return bounded_broadcast(e)
+            return checked_side(e, "content_id", "embeddings", self.check_keys)
         return self._memo("embeddings_side", build)
 
     # -- scans (S1) ---------------------------------------------------------------
