@@ -9,8 +9,8 @@
 ``embeddings``  content_id, vec (array<double>)
 
 Side tables are joined through :func:`bounded_broadcast`: they are
-broadcast only after their row count has been checked, otherwise the
-planner (and AQE at runtime) picks a shuffle join.
+broadcast only after their rows and bytes have been measured (one job),
+otherwise the planner (and AQE at runtime) picks a shuffle join.
 """
 
 from __future__ import annotations
@@ -19,9 +19,11 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Largest side table (rows) we broadcast after counting it.
+# Largest side table we broadcast after measuring it: rows and in-memory bytes.
 MAX_BROADCAST_ROWS = 2_000_000
+MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 
 TRAIN_COLUMNS = (
     "row_id", "user_id", "timestamp", "content_id", "content_type_id",
@@ -30,10 +32,49 @@ TRAIN_COLUMNS = (
 )
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` if it has at most ``max_rows`` rows, else leave it to the planner."""
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+# In-memory widths (bytes) of Spark's fixed-size types.
+FIXED_WIDTH = {T.ByteType: 1, T.BooleanType: 1, T.ShortType: 2, T.IntegerType: 4,
+               T.FloatType: 4, T.DateType: 4, T.LongType: 8, T.DoubleType: 8,
+               T.TimestampType: 8, T.TimestampNTZType: 8}
+OTHER_WIDTH = 64
+
+
+def type_width(t: T.DataType) -> int:
+    if isinstance(t, T.DecimalType):
+        return 8 if t.precision <= 18 else 16
+    if isinstance(t, T.StructType):
+        return sum(type_width(f.dataType) for f in t.fields)
+    return FIXED_WIDTH.get(type(t), OTHER_WIDTH)
+
+
+def row_bytes(schema: T.StructType) -> Column:
+    """Bytes of one row, measured per row: fixed widths, string/binary lengths and
+    array lengths times the element width (other nested types at a fixed estimate)."""
+    total = F.lit(0).cast("long")
+    for f in schema.fields:
+        c, t = F.col(f"`{f.name}`"), f.dataType
+        if isinstance(t, (T.StringType, T.BinaryType)):
+            size = F.coalesce(F.octet_length(c), F.lit(0)) + 8
+        elif isinstance(t, T.ArrayType):
+            n = F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0))
+            size = n * type_width(t.elementType) + 16
+        else:
+            size = F.lit(type_width(t))
+        total = total + size.cast("long")
+    return total
+
+
+def fits_broadcast(rows: int | None, nbytes: int | None, max_rows: int = MAX_BROADCAST_ROWS,
+                   max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    return (rows or 0) <= max_rows and (nbytes or 0) <= max_bytes
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
+                      max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast ``df`` if it has at most ``max_rows`` rows and ``max_bytes`` bytes
+    (measured in one aggregate job), else leave the join strategy to the planner."""
+    r = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(row_bytes(df.schema)).alias("bytes")).first()
+    return F.broadcast(df) if fits_broadcast(r["rows"], r["bytes"], max_rows, max_bytes) else df
 
 
 class DuplicateKeyError(ValueError):
@@ -49,16 +90,17 @@ def assert_unique(df: DataFrame, key: str | list[str], what: str) -> None:
 
 
 def checked_side(df: DataFrame, key: str, what: str, check: bool = True,
-                 max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Side table with a unique key: one job gives its size and the uniqueness check;
-    broadcast under ``max_rows``, otherwise left to the planner."""
+                 max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Side table with a unique key: one job gives its rows, bytes and the uniqueness
+    check; broadcast under both bounds, otherwise left to the planner."""
     if not check:
-        return bounded_broadcast(df, max_rows)
-    stats = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_c"))
-               .agg(F.sum("_c").alias("rows"), F.max("_c").alias("dup")).first())
+        return bounded_broadcast(df, max_rows, max_bytes)
+    stats = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_c"), F.sum(row_bytes(df.schema)).alias("_b"))
+               .agg(F.sum("_c").alias("rows"), F.max("_c").alias("dup"), F.sum("_b").alias("bytes"))
+               .first())
     if (stats["dup"] or 0) > 1:
         raise DuplicateKeyError(f"{what}: key {key} is not unique")
-    return F.broadcast(df) if (stats["rows"] or 0) <= max_rows else df
+    return F.broadcast(df) if fits_broadcast(stats["rows"], stats["bytes"], max_rows, max_bytes) else df
 
 
 @dataclass
