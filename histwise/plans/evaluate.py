@@ -7,16 +7,16 @@ same columns with the same types, and the two halves are unioned by name.
 
 Lecture flags (F11) need lecture rows in the same history: lecture rows are
 first reduced to one mark per (user, timestamp) (map-side combined), then
-merged into the question stream; the plain path uses a RANGE frame (same
-timestamp = peer), the blocked path orders marks before questions of the
-same timestamp and takes a running MAX, which is the same thing.
+merged into the question stream. Both paths order marks before the questions
+of the same timestamp and take a running MAX, which equals the RANGE frame
+(same timestamp = peer) of the definition.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from histwise.functions.exprs import flag
@@ -52,9 +52,17 @@ def _ordered_specs(specs: Sequence[W.Spec]) -> list[W.Spec]:
 
 
 def _seen_plain(rows: DataFrame, marks: DataFrame) -> DataFrame:
+    """Lecture flags seen up to and at each question's timestamp.
+
+    Marks carry a NULL ``row_id``, so under the ``(timestamp, row_id)`` order (NULLs
+    first) they precede the questions of their timestamp, and a ROWS running MAX equals
+    the RANGE frame of the definition for every question row. Ordering like the user
+    family's windows lets those reuse this sort: one sort of the stream instead of two.
+    """
     both = (rows.withColumn("_is_q", F.lit(True))
                 .unionByName(marks.withColumn("_is_q", F.lit(False)), allowMissingColumns=True))
-    both = both.withColumns({s: W.seen_flag(F.col(f"_lf_{n}"), USER)
+    upto = W.ordered(USER).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    both = both.withColumns({s: F.max(F.col(f"_lf_{n}")).over(upto)
                              for s, n in zip(SEEN, LECTURE_FLAGS)})
     return both.where(F.col("_is_q")).drop("_is_q", *[f"_lf_{n}" for n in LECTURE_FLAGS])
 

@@ -27,3 +27,12 @@ def test_scan_prunes_columns(spark):
         spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
     schemas = [l for l in text.splitlines() if l.startswith("ReadSchema") and "event_id" in l]
     assert schemas and all("ts:" not in l and "value:" not in l for l in schemas), schemas
+
+
+def test_one_sort_per_key_family(spark):
+    """Lecture flags share the user family's (timestamp, row_id) sort: three sorts for
+    the three key families (user; user, part; user, item), none extra."""
+    ctx = FeatureContext(load_inputs(spark, SF001))
+    plan = _plan(feature_matrix(ctx))
+    sorts = [l for l in plan.splitlines() if l.strip(" :+-").startswith("Sort [")]
+    assert len(sorts) == 3, plan
