@@ -54,3 +54,48 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+# Partition sizing for cluster runs: every scan split and shuffle partition should hold
+# about TARGET_PARTITION_BYTES so it fits in one task's memory share without heavy spill.
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+# Shuffled question rows carry the window and item columns: about 3x their parquet size.
+SHUFFLE_EXPANSION = 3
+
+
+def input_bytes(spark: SparkSession, paths) -> int:
+    """Total stored size of the input paths (file-system metadata only, no scan)."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    total = 0
+    for p in ([paths] if isinstance(paths, str) else paths):
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        total += path.getFileSystem(conf).getContentSummary(path).getLength()
+    return int(total)
+
+
+def sized_conf(n_bytes: int, cores: int) -> dict[str, str]:
+    """Settings that keep scan splits and shuffle partitions near the target size.
+
+    The shuffle partition count is an upper bound: AQE coalesces small partitions at
+    runtime and splits skewed ones in joins."""
+    parts = max(2 * cores, -(-n_bytes * SHUFFLE_EXPANSION // TARGET_PARTITION_BYTES))
+    size = f"{TARGET_PARTITION_BYTES // (1024 * 1024)}m"
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
+
+
+def apply_sizing(spark: SparkSession, paths, force: bool = False) -> dict[str, str]:
+    """Size partitions for the inputs at ``paths``; settings given at launch win
+    unless ``force``. Returns what was set."""
+    launch = spark.sparkContext.getConf()
+    conf = sized_conf(input_bytes(spark, paths), spark.sparkContext.defaultParallelism)
+    applied = {k: v for k, v in conf.items() if force or not launch.contains(k)}
+    for k, v in applied.items():
+        spark.conf.set(k, v)
+    return applied

@@ -31,3 +31,23 @@ def test_duplicate_side_key_fails(spark):
     df = spark.createDataFrame([(1, 1), (1, 2)], "k long, v int")
     with pytest.raises(DuplicateKeyError):
         checked_side(df, "k", "dup")
+
+
+def test_sizing_scales_with_input():
+    from histwise.session import TARGET_PARTITION_BYTES, sized_conf
+    small = sized_conf(10 * 1024 * 1024, cores=8)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    big = sized_conf(100 * 1024 ** 4, cores=8000)          # 100 TiB on 8000 cores
+    parts = int(big["spark.sql.shuffle.partitions"])
+    assert parts * TARGET_PARTITION_BYTES >= 3 * 100 * 1024 ** 4
+    assert big["spark.sql.files.maxPartitionBytes"] == "256m"
+
+
+def test_input_bytes_reads_metadata(spark):
+    import os
+    from conftest import SF001
+    from histwise.session import input_bytes
+    p = f"{SF001}/events.parquet"
+    expected = (os.path.getsize(p) if os.path.isfile(p) else
+                sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(p) for f in fs))
+    assert input_bytes(spark, p) == expected
