@@ -22,7 +22,7 @@ This module splits such groups without changing any result:
      partitioning on ``(key, position)`` spreads a hot key over all tasks.
 
 Sliding sums become differences of prefix sums; floating values are summed
-as ``decimal(38,18)`` so the difference is exact for the stored digits
+as ``decimal(34,16)`` so the difference is exact for the stored digits
 (results can differ from a frame-by-frame double sum in the last bits).
 Empty frames and frames of only NULLs stay NULL, as in SQL.
 """
@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 from histwise.operators.windows import ORDER, Spec
 from histwise.session import ensure_checkpoint_dir
 
-EXACT_DECIMAL = T.DecimalType(38, 18)
+EXACT_DECIMAL = T.DecimalType(34, 16)   # same as windows.EXACT_DECIMAL (see there)
 
 
 @dataclass(frozen=True)
@@ -127,30 +127,32 @@ def evaluate_blocked(frame: DataFrame, spec: Spec, order: Sequence[str] = ORDER)
         src[f"_sv{i}"] = _exact(v, types[n])
         src[f"_cv{i}"] = v.isNotNull().cast("long")
     local = frame.withColumns(src) if src else frame
+    # sums are cast back to the value's exact type (see windows.EXACT_DECIMAL)
+    st = {i: local.schema[f"_sv{i}"].dataType for i in range(len(values))}
     loc = {"_lr": F.row_number().over(lw).cast("long")}
     for i in range(len(values)):
-        loc[f"_ls{i}"] = F.sum(f"_sv{i}").over(incl)
+        loc[f"_ls{i}"] = F.sum(f"_sv{i}").over(incl).cast(st[i])
         loc[f"_lc{i}"] = F.sum(f"_cv{i}").over(incl)
     local = local.withColumns(loc)
 
     # 2. block totals -> offsets (one row per key and block)
     tot = local.groupBy(*key, "_blk").agg(
         F.count(F.lit(1)).alias("_tn"),
-        *[F.sum(f"_sv{i}").alias(f"_ts{i}") for i in range(len(values))],
+        *[F.sum(f"_sv{i}").cast(st[i]).alias(f"_ts{i}") for i in range(len(values))],
         *[F.sum(f"_cv{i}").alias(f"_tc{i}") for i in range(len(values))])
     ow = Window.partitionBy(*key).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     zero_l = F.lit(0).cast("long")
     offs = tot.select(
         *[F.col(k).alias(f"_r_{k}") for k in key], F.col("_blk").alias("_r_blk"),
         F.coalesce(F.sum("_tn").over(ow), zero_l).alias("_on"),
-        *[F.sum(f"_ts{i}").over(ow).alias(f"_os{i}") for i in range(len(values))],
+        *[F.sum(f"_ts{i}").over(ow).cast(st[i]).alias(f"_os{i}") for i in range(len(values))],
         *[F.coalesce(F.sum(f"_tc{i}").over(ow), zero_l).alias(f"_oc{i}") for i in range(len(values))])
     j = local.join(offs, _on(key, local, offs, [("_blk", "_r_blk")]), "left")
     pos = {"_pos": F.col("_on") + F.col("_lr")}
     for i in range(len(values)):
-        zero = F.lit(0).cast(local.schema[f"_sv{i}"].dataType)
+        zero = F.lit(0).cast(st[i])
         inc = F.coalesce(F.col(f"_os{i}"), zero) + F.col(f"_ls{i}")
-        pos[f"_pb{i}"] = inc - F.col(f"_sv{i}")                      # prefix sum before the row
+        pos[f"_pb{i}"] = (inc - F.col(f"_sv{i}")).cast(st[i])       # prefix sum before the row
         pos[f"_cb{i}"] = F.col(f"_oc{i}") + F.col(f"_lc{i}") - F.col(f"_cv{i}")
     j = j.withColumns(pos).drop(*[c for c in offs.columns], "_lr",
                                 *[f"_ls{i}" for i in range(len(values))],

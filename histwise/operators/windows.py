@@ -124,12 +124,15 @@ def merge_specs(specs) -> list[Spec]:
     return list(out.values())
 
 
-EXACT_DECIMAL = "decimal(38,18)"
+# Exact sums of floating values: 18 integer and 16 fractional digits. Every sum is cast
+# back to this type, so a chain of three additions stays within precision 38 and Spark
+# never drops fractional digits; plain and blocked paths then give the same decimals.
+EXACT_DECIMAL = "decimal(34,16)"
 INTEGRAL = ("tinyint", "smallint", "int", "bigint", "boolean")
 
 
 def exact_type(frame, value: Column) -> tuple[str, str]:
-    """(value type, exact summing type): long for integers, decimal(38,18) otherwise."""
+    """(value type, exact summing type): long for integers, ``EXACT_DECIMAL`` otherwise."""
     t = frame.select(value.alias("_v")).schema["_v"].dataType.simpleString()
     return t, ("bigint" if t in INTEGRAL else EXACT_DECIMAL)
 
@@ -137,7 +140,7 @@ def exact_type(frame, value: Column) -> tuple[str, str]:
 def evaluate(frame, spec: Spec, order: Sequence[str] = ORDER):
     """Plain window evaluation, all keyed by ``spec.key`` (one exchange, one sort per key).
 
-    Sliding sums are differences of exact prefix sums (``long``, or ``decimal(38,18)`` for
+    Sliding sums are differences of exact prefix sums (``long``, or ``EXACT_DECIMAL`` for
     floating values) read through a ``lag``: O(1) work per row instead of re-summing a
     ``width``-row frame for every row. Frames holding only NULLs stay NULL.
     """
@@ -148,7 +151,7 @@ def evaluate(frame, spec: Spec, order: Sequence[str] = ORDER):
         prefix, outs = {}, {}
         for i, (n, (v, width)) in enumerate(spec.slides.items()):
             vt, et = exact_type(frame, v)
-            prefix[f"_spb{i}"] = F.sum(F.coalesce(v.cast(et), F.lit(0).cast(et))).over(before)
+            prefix[f"_spb{i}"] = F.sum(F.coalesce(v.cast(et), F.lit(0).cast(et))).over(before).cast(et)
             prefix[f"_scb{i}"] = F.sum(v.isNotNull().cast("long")).over(before)
             s = F.col(f"_spb{i}") - F.coalesce(F.lag(f"_spb{i}", width).over(w), F.lit(0).cast(et))
             c = F.col(f"_scb{i}") - F.coalesce(F.lag(f"_scb{i}", width).over(w), F.lit(0).cast("long"))

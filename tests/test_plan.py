@@ -36,3 +36,16 @@ def test_one_sort_per_key_family(spark):
     plan = _plan(feature_matrix(ctx))
     sorts = [l for l in plan.splitlines() if l.strip(" :+-").startswith("Sort [")]
     assert len(sorts) == 3, plan
+
+
+def test_blocked_path_equals_plain_on_full_matrix(spark):
+    """Hot users split into blocks give exactly the plain matrix (floating sliding sums
+    included: both paths sum the same exact decimals)."""
+    from histwise.operators.skew import SkewPolicy
+    inputs = load_inputs(spark, SF001)
+    plain = feature_matrix(FeatureContext(inputs, policy=None))
+    hot_ctx = FeatureContext(inputs, policy=SkewPolicy(max_rows_per_key=5, block_rows=40))
+    assert hot_ctx.hot() is not None and hot_ctx.hot().n_blocks > 1
+    blocked = feature_matrix(hot_ctx)
+    assert plain.count() == blocked.count()
+    assert plain.exceptAll(blocked).count() == 0 and blocked.exceptAll(plain).count() == 0
