@@ -87,6 +87,13 @@ def split(df: DataFrame, keys: DataFrame | None, key: Sequence[str]) -> tuple[Da
     return df.join(keys, list(key), "left_anti"), df.join(keys, list(key), "left_semi")
 
 
+def freeze(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the shared checkpoint folder: cuts lineage (executor loss
+    recomputes from here) and keeps later plans from re-expanding it."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def assign_blocks(df: DataFrame, key: Sequence[str], order: Sequence[str], n_blocks: int) -> DataFrame:
     """Add ``_blk``: consecutive ordered blocks of each key's history (frozen by checkpoint)."""
     ensure_checkpoint_dir(df.sparkSession)

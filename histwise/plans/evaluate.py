@@ -84,9 +84,14 @@ def blocked_path(rows: DataFrame, marks: DataFrame | None, specs: Sequence[W.Spe
         b = skew.prefix_max_blocked(b, USER, {s_: F.col(f"_lf_{n}") for s_, n in zip(SEEN, LECTURE_FLAGS)},
                                     MARK_ORDER)
         b = b.where(F.col("_is_q")).drop(*[f"_lf_{n}" for n in LECTURE_FLAGS])
+        b = skew.freeze(b)
     b = b.drop("_is_q")
-    for spec in specs:
+    for i, spec in enumerate(specs):
         b = skew.evaluate_blocked(b, spec)
+        # Each step reads its input twice (block totals and the rows); freezing the hot
+        # rows between steps keeps every step's plan a fixed size instead of doubling.
+        if i < len(specs) - 1:
+            b = skew.freeze(b)
     return b.drop("_blk")
 
 
