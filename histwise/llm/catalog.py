@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from histwise.llm import bpe, exact_dedup, line_dedup, packing, simhash
+from histwise.llm import bpe, chat, exact_dedup, html_text, line_dedup, packing, simhash, topk
 from histwise.llm.common import table
 
 #: The vocabulary of the contract's queries, a file on every node.
@@ -22,6 +22,18 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.contract(table(spark, sf_dir, "documents"))
 
 
+def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.contract(table(spark, sf_dir, "pages"))
+
+
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.contract(table(spark, sf_dir, "embeddings"))
+
+
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.contract(table(spark, sf_dir, "conversations"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), VOCABULARY)
 
@@ -34,6 +46,6 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.contract(spark, f"{sf_dir}/documents.parquet")
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_simhash, op6_bpe, op7_line_dedup, op8_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_simhash, op3_html, op4_topk, op5_chat, op6_bpe, op7_line_dedup, op8_exact_dedup)}
 
-ORACLES = {"op7_line_dedup": line_dedup.SQL, "op8_exact_dedup": exact_dedup.SQL}
+ORACLES = {"op4_topk": topk.SQL, "op5_chat": chat.SQL, "op7_line_dedup": line_dedup.SQL, "op8_exact_dedup": exact_dedup.SQL}
