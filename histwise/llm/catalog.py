@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from histwise.llm import bpe, chat, exact_dedup, html_text, line_dedup, packing, simhash, topk
+from histwise.llm import bpe, chat, exact_dedup, html_text, line_dedup, packing, pii, simhash, topk, toxicity
 from histwise.llm.common import table
 
 #: The vocabulary of the contract's queries, a file on every node.
@@ -46,6 +46,14 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.contract(spark, f"{sf_dir}/documents.parquet")
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_simhash, op3_html, op4_topk, op5_chat, op6_bpe, op7_line_dedup, op8_exact_dedup)}
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.contract(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.contract(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_packing, op2_simhash, op3_html, op4_topk, op5_chat, op6_bpe, op7_line_dedup, op8_exact_dedup, op9_toxicity, op10_pii)}
 
 ORACLES = {"op4_topk": topk.SQL, "op5_chat": chat.SQL, "op7_line_dedup": line_dedup.SQL, "op8_exact_dedup": exact_dedup.SQL}

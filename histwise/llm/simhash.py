@@ -34,6 +34,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 
 from histwise.llm.bpe import slices
 from histwise.llm.common import ready, stored, text_or_empty
@@ -83,6 +84,16 @@ def fingerprints(docs: DataFrame, words_per_shingle: int = WORDS_PER_SHINGLE) ->
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("t")).mapInArrow(run, "doc_id long, fp long")
 
 
+def coded(spark, words_per_shingle: int = WORDS_PER_SHINGLE):
+    """A column function: text to its fingerprint (as a long)."""
+
+    def run(text: pa.Array) -> pa.Array:
+        return pa.array(np.array([fingerprint(t, words_per_shingle) for t in text.to_pylist()], np.uint64).view(np.int64))
+
+    ready(spark)
+    return arrow_udf(run, "long")
+
+
 def masks(max_bits: int) -> list[int]:
     """Masks (as signed longs) of which every pair within ``max_bits`` agrees on at least one."""
     n = max_bits + 6
