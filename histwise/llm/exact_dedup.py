@@ -25,7 +25,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from histwise.llm.common import shared_path, text_or_empty
+from histwise.llm.common import shared_path, stored, text_or_empty
 
 # Spark's settings for disk-backed state that keeps within a bound of memory on each executor.
 STATE = {
@@ -33,9 +33,15 @@ STATE = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    # Files of small stores are not allocated ahead: a store per partition would fill the disk.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 
+#: Shares into which the rows of one digest are dealt for the check.
+SALTS = 16
+
+
 @contextmanager
 def settings(spark: SparkSession, values: dict[str, str]):
     old = {k: spark.conf.get(k, None) for k in values}
@@ -50,10 +56,10 @@ def settings(spark: SparkSession, values: dict[str, str]):
 
 def update_state(spark: SparkSession, path: str, checkpoint: str) -> None:
     """Take the files under ``path`` that ``checkpoint`` has not seen into the state."""
-    stored = spark.read.parquet(path)
-    reader = spark.readStream.schema(stored.select("doc_id", "text").schema)
+    files = spark.read.parquet(path)
+    reader = spark.readStream.schema(files.select("doc_id", "text").schema)
     folder, _, name = path.rstrip("/").rpartition("/")
-    if all(f.rpartition("/")[2] == name for f in stored.inputFiles()):  # one file: a stream reads folders
+    if all(f.rpartition("/")[2] == name for f in files.inputFiles()):  # one file: a stream reads folders
         stream = reader.option("pathGlobFilter", name).parquet(folder)
     else:
         stream = reader.parquet(path)
@@ -61,9 +67,8 @@ def update_state(spark: SparkSession, path: str, checkpoint: str) -> None:
         F.sha2(text_or_empty(), 256).alias("digest"), F.col("doc_id").cast("long").alias("doc_id"),
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
     state = rows.groupBy("digest").agg(F.max(F.struct("doc_id", "file", "row")).alias("stays"), F.count("*").alias("n"))
-    with settings(spark, STATE):
-        (state.writeStream.format("noop").outputMode("update").trigger(availableNow=True)
-         .option("checkpointLocation", checkpoint).start().awaitTermination())
+    (state.writeStream.format("noop").outputMode("update").trigger(availableNow=True)
+     .option("checkpointLocation", checkpoint).start().awaitTermination())
 
 
 def read_state(spark: SparkSession, checkpoint: str) -> DataFrame:
@@ -79,21 +84,25 @@ def deduplicate(spark: SparkSession, path: str, checkpoint: str | None = None) -
     """One row per stored document: doc_id, keep_id, group_size, kept, digest, and the locator
     (file, row) of the row that stays."""
     checkpoint = checkpoint or shared_path(spark, "exact-dedup")
-    docs = spark.read.parquet(path).select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("t"))
-    update_state(spark, path, checkpoint)
-    state = read_state(spark, checkpoint)
-    rows = docs.withColumn("digest", F.sha2("t", 256))
-    # Full bytes on hits: classes by the text itself, one row per text and task in the shuffle.
-    hits = state.where("n > 1").select("digest")
-    equal = (rows.join(hits, "digest", "left_semi").groupBy("digest", "t")
-             .agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("n")))
-    by_digest = equal.groupBy("digest").agg(F.count("*").alias("texts"), F.max(F.struct("keep_id", "n")).alias("one"))
-    split = by_digest.where("texts > 1").select("digest")
-    others = (equal.join(split, "digest", "left_semi").select(F.col("digest").alias("d"), F.col("t").alias("own"), F.col("keep_id").alias("own_id"), F.col("n").alias("own_n")))
-    known = state.join(by_digest, "digest", "left").select(F.col("digest").alias("k"), "keep_id", "file", "row", "n", (F.coalesce("texts", F.lit(1)) == 1).alias("checked"))
-    joined = rows.join(known, rows["digest"] == known["k"]).join(others, ~F.col("checked") & (F.col("digest") == F.col("d")) & (F.col("t") == F.col("own")), "left")
-    keep, n = F.when(F.col("checked"), F.col("keep_id")).otherwise(F.col("own_id")), F.when(F.col("checked"), F.col("n")).otherwise(F.col("own_n"))
-    return joined.select("doc_id", keep.alias("keep_id"), n.alias("group_size"), F.col("doc_id").eqNullSafe(keep).alias("kept"), "digest", F.when(F.col("checked"), F.col("file")).alias("file"), F.when(F.col("checked"), F.col("row")).alias("row"))
+    with settings(spark, STATE):
+        update_state(spark, path, checkpoint)
+        state = stored(read_state(spark, checkpoint), "exact-state")
+    texts = spark.read.parquet(path).select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("t")).withColumn("digest", F.sha2("t", 256))
+    # Full bytes on hits: classes by the text itself. The salt deals a frequent text over tasks,
+    # each of which leaves one row of it for the second shuffle.
+    hits = state.where("n > 1").select("digest", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    equal = stored(texts.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")).join(hits, ["digest", "salt"], "left_semi")
+                   .groupBy("digest", "t").agg(F.max("doc_id").alias("own_id"), F.count("*").alias("own_n")), "exact-classes")
+    split = equal.groupBy("digest").agg(F.count("*").alias("texts")).where("texts > 1").select(F.col("digest").alias("d"))
+    rows = texts.select("doc_id", "digest")
+    if split.isEmpty():  # no digest stands for two texts: the state has the classes
+        whole = rows.join(state, "digest")
+    else:
+        one = state.join(split, state["digest"] == split["d"], "left_anti")
+        several = texts.join(split, texts["digest"] == split["d"], "left_semi").join(equal, ["digest", "t"])
+        whole = rows.join(one, "digest").unionByName(several.select(
+            "doc_id", "digest", F.col("own_id").alias("keep_id"), F.col("own_n").alias("n"), F.lit(None).cast("string").alias("file"), F.lit(None).cast("long").alias("row")))
+    return whole.select("doc_id", "keep_id", F.col("n").alias("group_size"), F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "digest", "file", "row")
 
 
 def contract(spark: SparkSession, path: str) -> DataFrame:
