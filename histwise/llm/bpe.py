@@ -34,7 +34,7 @@ from histwise.llm.common import text_or_empty
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 #: Chunks that a task remembers before it forgets all of them: bounds the memory only.
-MEMO_CHUNKS = 1 << 19
+MEMO_CHUNKS = 1 << 20
 
 #: A space whose neighbour is white space (or the end), at which a text must not be cut.
 _UNSAFE = re.compile(r" (?=\s|$)|\s (?! )", re.UNICODE)
@@ -234,11 +234,10 @@ class Bpe:
                 new.update(x for x, ids in zip(rest, found) if ids is None)
             whole.update(head)
             rows.append((head, rest, found))
-        split = {x: self.pretokens(" " + x) for x in new}
-        words = list({w for row in split.values() for w in row} | (whole - self.special.keys()))
-        ids = dict(zip(words, self.words(words)))
+        fresh = self.chunks(list(new))
+        plain = list(whole - self.special.keys())
+        ids = dict(zip(plain, self.words(plain)))
         ids |= {x: array("i", [i]).tobytes() for x, i in self.special.items()}
-        fresh = {x: b"".join([ids[w] for w in row]) for x, row in split.items()}
         out = [b"".join([ids[w] for w in head]) + b"".join([fresh[x] if c is None else c for x, c in zip(rest, found)])
                for head, rest, found in rows]
         if len(memo) + len(fresh) > MEMO_CHUNKS:
@@ -246,6 +245,13 @@ class Bpe:
         memo.update((x, c) for x, c in fresh.items() if len(x) <= 64)
         return out
 
+    def chunks(self, chunks: list[str]) -> dict[str, bytes]:
+        """The ids of chunks that each follow a space."""
+        split = {x: self.pretokens(" " + x) for x in chunks}
+        words = list({w for row in split.values() for w in row})
+        ids = dict(zip(words, self.words(words)))
+        return {x: b"".join([ids[w] for w in row]) for x, row in split.items()}
+
     def pieces(self, text: str) -> tuple[list[str], list[str]]:
         """Pre-tokens and special tokens of a text's beginning, and the chunks after it that
         each follow a space; the ids of neither depend on their neighbours."""

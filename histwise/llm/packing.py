@@ -22,6 +22,7 @@ an empty result; further columns are not read.
 from __future__ import annotations
 
 import os
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,7 +51,10 @@ class LibraryIds(Bpe):
 
     def words(self, words: list[str]) -> list[bytes]:
         encoded = self.library.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in encoded]
+        return [array("I", e.ids).tobytes() for e in encoded]
+
+    def chunks(self, chunks: list[str]) -> dict[str, bytes]:
+        return dict(zip(chunks, self.words([" " + x for x in chunks])))
 
 
 _LOADED: dict[str, LibraryIds] = {}
