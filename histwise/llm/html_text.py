@@ -6,8 +6,8 @@
    and those whose class, id or role says so: adverts, notices, comments, ...) give no lines.
 2. Each line has a text-to-tag ratio. The ratios are smoothed by a Gaussian along the page, and
    clustered in two with their slopes, one cluster held at the origin: lines outside it are content.
-3. A region is a container with its lines. Regions most of whose text is content lines are the
-   article, with all their lines, so a short heading or paragraph stays with its article. Where
+3. A region is a container with its lines. Regions most of whose text is content lines, and whose
+   ratio as a whole is on the content's side, are the article, with all their lines, so a short heading or paragraph stays with its article. Where
    a page marks its article, only marked regions count, and all of them if none passes.
 
 Inputs: null html is an empty page with empty text; unclosed or stray tags, pages cut off in the
@@ -135,20 +135,21 @@ def smoothed(ratio: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     return weighted / np.convolve(np.ones(len(ratio)), kernel)[reach:reach + len(ratio)]
 
 
-def content_lines(ratio: np.ndarray) -> np.ndarray:
-    """Two clusters over (smoothed ratio, slope), one held at the origin; True outside it."""
+def content_lines(ratio: np.ndarray) -> tuple[np.ndarray, float]:
+    """Two clusters over (smoothed ratio, slope), one held at the origin: True outside it, and
+    the ratio halfway between the two."""
     smooth = smoothed(ratio)
     points = np.stack([smooth, np.abs(np.gradient(smooth)) if len(smooth) > 1 else np.zeros(1)], axis=1)
     centre = points[np.argmax(smooth)]
     for _ in range(50):
         chosen = ((points - centre) ** 2).sum(axis=1) < (points ** 2).sum(axis=1)
         if not chosen.any():
-            return chosen
+            break
         moved = points[chosen].mean(axis=0)
         if np.allclose(moved, centre):
             break
         centre = moved
-    return chosen
+    return chosen, centre[0] / 2
 
 
 def main_text(html: str) -> str:
@@ -160,11 +161,15 @@ def main_text(html: str) -> str:
     if not lines:
         return ""
     length = np.array([len(text) for text, _, _ in lines], float)
-    content = content_lines(length / np.array([max(1, tags) for _, tags, _ in lines]))
+    tags = np.array([max(1, tags) for _, tags, _ in lines], float)
+    content, halfway = content_lines(length / tags)
     region = np.array([r for _, _, r in lines])
     number = int(region.max()) + 1
-    share = np.bincount(region, length * content, number) / np.maximum(1, np.bincount(region, length, number))
-    passed = share >= 0.5
+    chars, inside = np.bincount(region, length, number), np.bincount(region, length * content, number)
+    # Smoothing lifts a short line beside the article: the region's own ratio must hold as well.
+    passed = (inside >= 0.5 * chars) & (chars >= halfway * np.bincount(region, tags, number)) & (chars > 0)
+    if not passed.any():
+        passed[np.argmax(inside)] = True
     marked = np.zeros(number, bool)
     marked[[r for r in parser.marked if r < number]] = True
     if marked[region].any():

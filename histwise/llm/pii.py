@@ -50,15 +50,11 @@ ROUNDS, TRUST, SUPPORT = 3, 0.8, 3
 
 
 def _matches(text: Column, kind: str) -> Column:
-    """Matches with the length of the gap before each; for identifiers the context too."""
+    """Matches with the length of the gap before each and the end of its text, the context."""
     found, pieces = F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(0)), F.split(text, PATTERNS[kind], -1)
     gaps = F.transform(pieces, lambda p: F.length(p))
-    columns = [gaps.alias("gap"), found.alias("match")]
-    fields = "gap: int, match: string"
-    if kind == FOUND:
-        tail = F.transform(pieces, lambda p: F.substring(p, -CONTEXT_CHARS, CONTEXT_CHARS))
-        columns.append(tail.alias("left"))
-        fields += ", left: string"
+    tails = F.transform(pieces, lambda p: F.substring(p, -CONTEXT_CHARS, CONTEXT_CHARS))
+    columns, fields = [gaps.alias("gap"), found.alias("match"), tails.alias("left")], "gap: int, match: string, left: string"
     need = F.contains(text, F.lit(NEEDS[kind])) if kind in NEEDS else text.rlike("[0-9]")
     return F.when(need, F.arrays_zip(*columns)).otherwise(F.array().cast(f"array<struct<{fields}>>"))
 
@@ -90,9 +86,8 @@ def occurrences(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     shape = "array<struct<kind: string, i: int, gap: int, match: string, left: string>>"
 
     def listed(kind: str) -> Column:
-        left = (lambda m: m["left"]) if kind == FOUND else (lambda m: F.lit(None).cast("string"))
         return F.transform(F.col(kind), lambda m, i: F.struct(
-            F.lit(kind).alias("kind"), i.alias("i"), m["gap"].alias("gap"), m["match"].alias("match"), left(m).alias("left"))).cast(shape)
+            F.lit(kind).alias("kind"), i.alias("i"), m["gap"].alias("gap"), m["match"].alias("match"), m["left"].alias("left"))).cast(shape)
 
     each = F.concat(*map(listed, PATTERNS))
     flat = rows.select("row", F.explode(each).alias("m")).select("row", "m.*").where("match is not null")
@@ -112,21 +107,16 @@ def contexts(left: Column) -> Column:
 
 
 def graph(spans: DataFrame) -> DataFrame:
-    """Occurrences of identifier-like strings: row, start, end, instance, patterns, seed (whether
-    a base span touches them)."""
-    base, ids = spans.where(F.col("kind") != FOUND), spans.where(F.col("kind") == FOUND)
-    # A base span and an identifier of one text touch: both are sorted by place within the text.
-    both = (base.select("row", "start", "end", F.lit(None).cast("string").alias("match"), F.lit(None).cast("string").alias("left"))
-            .unionByName(ids.select("row", "start", "end", "match", "left")))
-    order = Window.partitionBy("row").orderBy("start", F.col("match").isNotNull())
-    back = Window.partitionBy("row").orderBy(F.desc("start"), F.col("match").isNotNull())
-    covered = F.when(F.col("match").isNull(), F.col("end"))
-    begins = F.when(F.col("match").isNull(), F.col("start"))
-    touched = both.select(
-        "*", F.max(covered).over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("before"),
-        F.min(begins).over(back.rowsBetween(Window.unboundedPreceding, 0)).alias("after")).where("match is not null")
-    seed = F.coalesce(F.col("before") > F.col("start"), F.lit(False)) | F.coalesce(F.col("after") < F.col("end"), F.lit(False))
-    return touched.select("row", "start", "end", F.lower("match").alias("instance"), contexts(F.col("left")).alias("patterns"), seed.alias("seed"))
+    """Occurrences of instances: row, start, end, instance, patterns, seed. Base spans are the
+    seeds; the others are identifier-like strings that no base span touches."""
+    base = F.col("kind") != FOUND
+    order = Window.partitionBy("row").orderBy("start", ~base)
+    back = Window.partitionBy("row").orderBy(F.desc("start"), ~base)
+    placed = spans.select(
+        "*", F.max(F.when(base, F.col("end"))).over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("before"),
+        F.min(F.when(base, F.col("start"))).over(back.rowsBetween(Window.unboundedPreceding, 0)).alias("after"))
+    touched = F.coalesce(F.col("before") > F.col("start"), F.lit(False)) | F.coalesce(F.col("after") < F.col("end"), F.lit(False))
+    return placed.where(base | ~touched).select("row", "start", "end", F.lower("match").alias("instance"), contexts(F.col("left")).alias("patterns"), base.alias("seed"))
 
 
 def score_patterns(found: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT) -> tuple[DataFrame, DataFrame]:
