@@ -133,9 +133,9 @@ def _oracle_matrix() -> str:
 register("feature_matrix", _oracle_matrix)(comparable_matrix)
 
 
-@register("debug_sample", oracle.debug_sample)
+@register("debug_sample", lambda: oracle.debug_sample(5_000))
 def q_debug_sample(spark, sf_dir):
-    return M.debug_sample(feature_frame(context(spark, sf_dir), "UserCumulativeUserInteractions"))
+    return M.debug_sample(feature_frame(context(spark, sf_dir), "UserCumulativeUserInteractions"), 5_000)
 
 
 @register("null_report", lambda: oracle.null_report(_oracle_matrix(), matrix_cols()))

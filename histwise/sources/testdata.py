@@ -9,14 +9,14 @@ written in DuckDB in ``histwise.plans.oracle``):
 * ``timestamp``    = epoch milliseconds of ``ts`` floored to the hour (ties on purpose)
 * ``content_type_id`` = 1 for ``signup`` events (lectures), else 0
 * ``answered_correctly`` = -1 on lectures, else 1 if ``value > 3*k`` else 0
-* ``prior_question_elapsed_time`` = NULL when ``event_id % 10 = 0``, else ``value*1000``
-* ``prior_question_had_explanation`` = NULL when ``event_id % 10 = 0``, else ``event_type = 'view'``
-* ``questions``    = ``part`` rows with ``p_partkey < 100 AND p_partkey % 10 <> 9``,
-                     ``part = 1 + p_size % 7``
+* ``prior_question_elapsed_time`` = milliseconds of ``ts`` within its hour, NULL on masked rows
+* ``prior_question_had_explanation`` = ``event_type = 'view'``, NULL on masked rows
+* masked rows      = ``(event_id // 10) % 10 = 0``, so that no fold can be told by them
+* ``questions``    = all of ``part``, ``part = 1 + p_size % 7`` (item 0 has no row there)
 * ``lectures``     = every item seen on a lecture row, ``part = 1 + k % 7``,
                      ``type_of`` = LECTURE_TYPES[k % 4]
 * ``val_row_id``   = ``event_id`` with ``event_id % 10 = 7``
-* ``embeddings``   = first 10 elements of ``embeddings.embedding`` as doubles, ``vec_id`` = item
+* ``embeddings``   = ``embeddings.embedding``, whole, as doubles, ``vec_id`` = item
 """
 
 from __future__ import annotations
@@ -28,7 +28,6 @@ from histwise.sources.inputs import Inputs
 
 # The four lecture kinds, in the reference's order.
 LECTURE_TYPES = ["concept", "solving question", "intention", "starter"]
-EMBEDDING_DIM = 10
 HOUR_MS = 3_600_000
 
 
@@ -43,19 +42,18 @@ def _k(props: str = "props"):
 def bind_train(events: DataFrame) -> DataFrame:
     k = _k()
     # epoch ms of the wall-clock value; independent of the session time zone
-    hour = F.expr("timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', "
-                  f"CAST(ts AS TIMESTAMP_NTZ)) div {HOUR_MS}")
+    ms = F.expr("timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', CAST(ts AS TIMESTAMP_NTZ))")
     is_lecture = F.col("event_type") == "signup"
-    masked = F.col("event_id") % 10 == 0
+    masked = F.expr("event_id div 10") % 10 == 0
     return events.select(
         F.col("event_id").alias("row_id"),
         F.col("user_id"),
-        (hour * HOUR_MS).cast("long").alias("timestamp"),
+        (ms - ms % HOUR_MS).cast("long").alias("timestamp"),
         k.alias("content_id"),
         F.when(is_lecture, 1).otherwise(0).alias("content_type_id"),
         F.when(is_lecture, -1).when(F.col("value") > k * 3, 1).otherwise(0)
          .alias("answered_correctly"),
-        F.when(masked, F.lit(None)).otherwise(F.col("value") * 1000.0)
+        F.when(masked, F.lit(None)).otherwise(ms % HOUR_MS)
          .cast("double").alias("prior_question_elapsed_time"),
         F.when(masked, F.lit(None)).otherwise(F.col("event_type") == "view")
          .cast("boolean").alias("prior_question_had_explanation"),
@@ -63,9 +61,7 @@ def bind_train(events: DataFrame) -> DataFrame:
 
 
 def bind_questions(part: DataFrame) -> DataFrame:
-    return (part.where((F.col("p_partkey") < 100) & (F.col("p_partkey") % 10 != 9))
-                .select(F.col("p_partkey").alias("question_id"),
-                        (F.col("p_size") % 7 + 1).cast("int").alias("part")))
+    return part.select(F.col("p_partkey").alias("question_id"), (F.col("p_size") % 7 + 1).cast("int").alias("part"))
 
 
 def bind_lectures(train: DataFrame) -> DataFrame:
@@ -84,7 +80,7 @@ def bind_val(events: DataFrame) -> DataFrame:
 
 
 def bind_embeddings(emb: DataFrame) -> DataFrame:
-    vec = F.transform(F.slice(F.col("embedding"), 1, EMBEDDING_DIM), lambda x: x.cast("double"))
+    vec = F.transform("embedding", lambda x: x.cast("double"))
     return emb.select(F.col("vec_id").alias("content_id"), vec.alias("vec"))
 
 
