@@ -22,7 +22,7 @@ _CTX: dict = {}
 
 
 def context(spark: SparkSession, sf_dir: str) -> FeatureContext:
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _CTX:
         _CTX[key] = FeatureContext(load_inputs(spark, sf_dir))
     return _CTX[key]
@@ -225,7 +225,7 @@ _RUNS: dict = {}
 
 
 def _run(spark, sf_dir):
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _RUNS:
         ctx = context(spark, sf_dir)
         _RUNS[key] = training.run(ctx, training.RunConfig())

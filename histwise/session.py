@@ -59,6 +59,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 # Partition sizing for cluster runs: every scan split and shuffle partition should hold
 # about TARGET_PARTITION_BYTES so it fits in one task's memory share without heavy spill.
 TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+# Above this number of partitions they grow instead: a shuffle has partitions x map tasks blocks.
+MAX_PARTITIONS = 40_000
 # Shuffled question rows carry the window and item columns: about 3x their parquet size.
 SHUFFLE_EXPANSION = 3
 
@@ -78,11 +80,12 @@ def sized_conf(n_bytes: int, cores: int) -> dict[str, str]:
 
     The shuffle partition count is an upper bound: AQE coalesces small partitions at
     runtime and splits skewed ones in joins."""
-    parts = max(2 * cores, -(-n_bytes * SHUFFLE_EXPANSION // TARGET_PARTITION_BYTES))
-    size = f"{TARGET_PARTITION_BYTES // (1024 * 1024)}m"
+    target = max(TARGET_PARTITION_BYTES, -(-n_bytes * SHUFFLE_EXPANSION // MAX_PARTITIONS))
+    parts = max(2 * cores, -(-n_bytes * SHUFFLE_EXPANSION // target))
+    size = f"{-(-target // (1024 * 1024))}m"
     return {
         "spark.sql.shuffle.partitions": str(parts),
-        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.files.maxPartitionBytes": f"{TARGET_PARTITION_BYTES // (1024 * 1024)}m",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,

@@ -39,7 +39,9 @@ def test_sizing_scales_with_input():
     assert small["spark.sql.shuffle.partitions"] == "16"
     big = sized_conf(100 * 1024 ** 4, cores=8000)          # 100 TiB on 8000 cores
     parts = int(big["spark.sql.shuffle.partitions"])
-    assert parts * TARGET_PARTITION_BYTES >= 3 * 100 * 1024 ** 4
+    size = int(big["spark.sql.adaptive.advisoryPartitionSizeInBytes"].rstrip("m")) * 1024 ** 2
+    assert parts <= 50_000 and size >= TARGET_PARTITION_BYTES   # fewer, larger partitions at this size
+    assert parts * size >= 3 * 100 * 1024 ** 4
     assert big["spark.sql.files.maxPartitionBytes"] == "256m"
 
 
