@@ -5,10 +5,9 @@ adjacent pair; its root names the leftmost pair of the lowest rank. One merge ch
 neighbouring pairs, so it costs a few point updates of logarithmic length, until the root
 says that no mergeable pair is left. A word of n symbols takes O(n log n).
 
-Texts are cut into chunks at single spaces between non-space characters, which are always
-borders of pre-tokens, and a task remembers the ids of the chunks it has seen (bounded; see
-``MEMO_CHUNKS``). Texts where a cut could be wrong (runs of white space that hold such a
-space, or a special token) are not cut.
+Texts are cut into chunks at spaces that a non-space character follows, which are always borders
+of pre-tokens, and a task remembers the ids of the chunks it has seen (bounded; see
+``MEMO_CHUNKS``). Texts with a space before white space or the end, or with a special token, are not cut.
 
 Inputs: null text counts as empty; an empty text has no ids; a text of any length is read
 whole; repeated rows give repeated results; an empty table gives an empty table; further
@@ -33,12 +32,9 @@ from histwise.llm.common import text_or_empty
 # The byte-level pre-tokenizer pattern of the vocabulary file.
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-#: Chunks that a task remembers before it forgets all of them: bounds the memory only.
+#: Chunks that a task remembers before it forgets the older half: bounds the memory only.
 MEMO_CHUNKS = 1 << 20
 
-#: A space whose neighbour is white space (or the end), at which a text must not be cut.
-_UNSAFE = re.compile(r" (?=\s|$)|\s (?! )", re.UNICODE)
-
 NO_PAIR = ROW_NO_PAIR = 1 << 40
 
 #: Largest tree (pairs) of a forest, and words merged at once; longer words get a tree of their own.
@@ -171,6 +167,7 @@ class Bpe:
         self.pretokens: Callable[[str], list[str]] = regex.compile(PRETOKEN).findall
         self.splitter = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}  # the memo before this one, still asked
 
     def merge(self, word: str) -> list[int]:
         """The ids of one pre-token by a segment tree of its own."""
@@ -226,23 +223,28 @@ class Bpe:
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """The ids of whole texts."""
-        memo, rows, new, whole = self.memo, [], set(), set()
+        memo, rows, missing, whole = self.memo, [], set(), set()
         for text in texts:
             head, rest = self.pieces(text)
             found = list(map(memo.get, rest))
             if None in found:
-                new.update(x for x, ids in zip(rest, found) if ids is None)
+                own = {x for x, ids in zip(rest, found) if ids is None}
+                if any(not x or x[0].isspace() for x in own):  # never remembered, so never missed here
+                    head, rest, found = self.pretokens(text), [], []
+                else:
+                    missing |= own
             whole.update(head)
             rows.append((head, rest, found))
-        fresh = self.chunks(list(new))
+        fresh = {x: self.older[x] for x in missing if x in self.older}
+        fresh |= self.chunks(list(missing - fresh.keys()))
         plain = list(whole - self.special.keys())
         ids = dict(zip(plain, self.words(plain)))
         ids |= {x: array("i", [i]).tobytes() for x, i in self.special.items()}
         out = [b"".join([ids[w] for w in head]) + b"".join([fresh[x] if c is None else c for x, c in zip(rest, found)])
                for head, rest, found in rows]
-        if len(memo) + len(fresh) > MEMO_CHUNKS:
-            memo.clear()
-        memo.update((x, c) for x, c in fresh.items() if len(x) <= 64)
+        if len(memo) + len(fresh) > MEMO_CHUNKS // 2:
+            self.older, self.memo = memo, {}
+        self.memo.update((x, c) for x, c in fresh.items() if len(x) <= 64)
         return out
 
     def chunks(self, chunks: list[str]) -> dict[str, bytes]:
@@ -258,8 +260,6 @@ class Bpe:
         if self.splitter and self.splitter.search(text):
             return [w for part in self.splitter.split(text) if part
                     for w in ([part] if part in self.special else self.pretokens(part))], []
-        if _UNSAFE.search(text):
-            return self.pretokens(text), []
         first, *rest = text.split(" ")
         return self.pretokens(first), rest
 
