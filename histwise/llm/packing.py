@@ -36,22 +36,38 @@ from histwise.llm.common import shared_path, text_or_empty
 WINDOW = 2048
 SHARD_TOKENS = 1 << 19
 END_ID = 1
+#: Words that the library reads at once.
+RUN = 4096
 # Usual constants of BM25.
 K1, B = 1.2, 0.75
 
 
 class LibraryIds(Bpe):
-    """Ids by the tokenizers library, which is asked once for each word that is not remembered."""
+    """Ids by the tokenizers library, which is asked once for each word that is not remembered.
+
+    Words go to the library as runs, a special token between each two: the library cuts a text
+    at special tokens before all else, so the ids of a word are those that it has alone."""
 
     def __init__(self, path: str):
         super().__init__(path)
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core for each task
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(path)
+        self.library.no_truncation()
+        self.library.no_padding()
+        self.border = next((t for t, i in self.special.items() if self.library.encode(f" a{t} a", add_special_tokens=False).ids
+                            == [*self.library.encode(" a", add_special_tokens=False).ids, i, *self.library.encode(" a", add_special_tokens=False).ids]), None)
 
     def words(self, words: list[str]) -> list[bytes]:
-        encoded = self.library.encode_batch_fast(words, add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in encoded]
+        if self.border is None:
+            return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
+        out = []
+        for i in range(0, len(words), RUN):
+            run = self.border.join(words[i:i + RUN])
+            ids = np.array(self.library.encode_batch_fast([run], add_special_tokens=False)[0].ids, "<u4")
+            data, ends = ids.tobytes(), (4 * np.nonzero(ids == self.special[self.border])[0]).tolist()
+            out += [data[a:b] for a, b in zip([0, *[x + 4 for x in ends]], [*ends, len(data)])]
+        return out
 
     def chunks(self, chunks: list[str]) -> dict[str, bytes]:
         return dict(zip(chunks, self.words([" " + x for x in chunks])))
