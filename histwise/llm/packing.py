@@ -100,6 +100,7 @@ def term_counts(tokens: DataFrame) -> DataFrame:
     """For each term the number of documents that hold it; term -1: documents, -2: ids in all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _LOADED.clear()  # the tokens are stored: a worker's memory of words is not needed any more
         counts, documents, total = np.zeros(0, np.int64), 0, 0
         for batch in batches:
             for ids in batch.column("ids"):
