@@ -3,19 +3,24 @@
 1. Texts become token ids and are stored with an end id (one pass, no shuffle).
 2. Document frequencies of all terms (token ids, so at most the vocabulary's size) are counted
    over all documents and broadcast: that bound does not grow with the corpus.
-3. The inverted index is sharded: each task builds the index of one run of documents after the
-   other, each of about ``shard_tokens`` ids. In a shard the first unused document is the seed;
+3. Documents are routed by content: a sketch of ``SKETCH`` terms, rare ones before common ones, is
+   drawn the same way from every document, so those that share their rare terms have the same
+   sketch with a probability that grows with the share. The documents are dealt and sorted by the
+   whole sketch, then by row, which also splits a sketch that very many share.
+4. The inverted index is sharded: each task builds the index of one run of sorted documents after
+   the other, each of about ``shard_tokens`` ids. In a shard the first unused document is the seed;
    the unused neighbours of highest BM25 score (all terms of the seed are the query, statistics
    are those of the corpus) fill its window greedily. A document that does not fit is cut at
    the window's end and is the seed of the next window. So every window is full; the rest of a
    shard is cut into lengths that are powers of two, which need no padding.
 
-Shards follow the stored files, so a lost task is run again with the same rows in the same
-order, and a sequence's id (task, number in the task) stays the same.
+A seed asks its own shard only: equal documents meet there except at a shard's ends, others as far
+as the sketch brings them together (the README has the recall against BM25 over all documents).
+The pieces are stored, so that a sequence's id (task, number in the task) is the same in each read.
 
 Inputs: a null text counts as empty; an empty text is the end id alone; a document longer than
 a window or a shard is cut over windows, with no limit; equal documents and repeated rows are
-packed each (ties in score go to the earlier row); a null doc_id is kept; an empty table gives
+packed each (ties in score go to the earlier in the sorted order); a null doc_id is kept; an empty table gives
 an empty result; further columns are not read.
 """
 
@@ -31,13 +36,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from histwise.llm.bpe import Bpe, slices
-from histwise.llm.common import shared_path, text_or_empty
+from histwise.llm.common import OWN, shared_path, stored, text_or_empty
 
 WINDOW = 2048
 SHARD_TOKENS = 1 << 19
 END_ID = 1
 #: Words that the library reads at once.
 RUN = 4096
+#: Terms of a document's sketch; shards that a task builds one after the other; seed of the draw.
+SKETCH, TASK_SHARDS, SEED = 4, 4, 71
 # Usual constants of BM25.
 K1, B = 1.2, 0.75
 
@@ -115,6 +122,35 @@ def term_counts(tokens: DataFrame) -> DataFrame:
     return tokens.mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
 
+def kind(idf: np.ndarray) -> str:
+    """The numbers that ids are shuffled as: two bytes where all ids fit."""
+    return "<u2" if len(idf) <= 1 << 16 else "<u4"
+
+
+def routed(tokens: DataFrame, idf: np.ndarray, partitions: int) -> DataFrame:
+    """``tokens`` dealt and sorted by their sketch, the terms of smallest draw: an exponential one for each
+    term, the same in all documents, over the square of its idf. The ids are numbers of ``kind``."""
+    draws = np.random.default_rng(SEED).exponential(size=(SKETCH, len(idf))) / idf ** 2
+    shared = tokens.sparkSession.sparkContext.broadcast(draws)
+    names = [f"{OWN}sketch{i}" for i in range(SKETCH)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        draws = shared.value
+        for batch in batches:
+            found, small = np.empty((SKETCH, batch.num_rows), np.int64), []
+            for at, ids in enumerate(batch.column("ids")):
+                terms = np.frombuffer(ids.as_buffer(), "<u4")
+                for i in range(SKETCH):
+                    found[i, at] = terms[draws[i][terms].argmin()]
+                small.append(terms.astype(kind(draws[0])).tobytes())
+            yield pa.record_batch({"doc_id": batch.column("doc_id"), "ids": pa.array(small, pa.binary()), f"{OWN}row": batch.column(f"{OWN}row"), **dict(zip(names, found))})
+
+    numbered = tokens.withColumn(f"{OWN}row", F.monotonically_increasing_id())
+    keyed = numbered.mapInArrow(run, f"doc_id long, ids binary, {OWN}row long, " + ", ".join(f"{n} long" for n in names))
+    order = [*names, f"{OWN}row"]
+    return keyed.repartitionByRange(partitions, *order).sortWithinPartitions(*order).select("doc_id", "ids")
+
+
 class Shard:
     """The inverted index of a run of documents."""
 
@@ -195,13 +231,14 @@ def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, end_id: int = E
     documents, total = counts.pop(-1, 0), counts.pop(-2, 0)
     df = np.zeros(max(counts, default=0) + 1)
     df[list(counts)] = list(counts.values())
-    shared = spark.sparkContext.broadcast((np.log1p((documents - df + 0.5) / (df + 0.5)), total / max(1, documents)))
+    idf = np.log1p((documents - df + 0.5) / (df + 0.5))
+    shared = spark.sparkContext.broadcast((idf, total / max(1, documents)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         idf, mean = shared.value
         sequence = TaskContext.get().partitionId() << 32
-        for names, texts in shards(batches, shard_tokens):
+        for names, texts in shards(batches, shard_tokens, kind(idf)):
             shard = Shard(texts, idf, mean)
             order = np.array(shard.order(window), np.int64)
             result, used = pieces(shard, order, window)
@@ -212,15 +249,15 @@ def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, end_id: int = E
                 "doc_tokens": shard.lengths[doc], "sequence_id": sequence + number, "offset": offset})
             sequence += used
 
-    return tokens.mapInArrow(run, SCHEMA)
+    return stored(routed(tokens, idf, -(-total // (TASK_SHARDS * shard_tokens)) or 1).mapInArrow(run, SCHEMA), "packing-pieces", "zstd")
 
 
-def shards(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[list, list[np.ndarray]]]:
+def shards(batches: Iterator[pa.RecordBatch], most: int, kind: str = "<u4") -> Iterator[tuple[list, list[np.ndarray]]]:
     names, texts, size = [], [], 0
     for batch in batches:
         for name, ids in zip(batch.column("doc_id").to_pylist(), batch.column("ids")):
             names.append(name)
-            texts.append(np.frombuffer(ids.as_py(), "<u4"))
+            texts.append(np.frombuffer(ids.as_py(), kind).astype("<u4", copy=False))
             size += len(texts[-1])
             if size >= most:
                 yield names, texts

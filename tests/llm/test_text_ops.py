@@ -99,6 +99,30 @@ def test_neighbours_are_ranked_by_bm25():
     assert sorted(shard.order(64)) == list(range(30))
 
 
+def test_packing_routes_neighbours_to_one_shard(llm):
+    rng = np.random.default_rng(6)
+    texts = [(rng.zipf(1.3, 60) % 3000).astype("<u4") for _ in range(200)]
+    near = [t.copy() for t in texts]
+    for t in near[100:]:
+        t[rng.integers(0, 60, 4)] = rng.integers(0, 3000, 4)
+    texts += near  # copies and near copies, 200 documents apart
+    df = np.bincount(np.concatenate([np.unique(t) for t in texts]), minlength=3000)
+    idf = np.log1p((400 - df + 0.5) / (df + 0.5))
+    whole = packing.Shard(texts, idf, 60.0)
+    best = [int(whole.neighbours(i, np.arange(400) != i)[0]) for i in range(400)]
+
+    def recall(order, kind):
+        run = {i: n for n, (names, _) in enumerate(packing.shards(order.toArrow().to_batches(), 1800, kind)) for i in names}
+        found = [run[i] == run[b] for i, b in enumerate(best)]
+        return np.mean(found[:100] + found[200:300]), np.mean(found[100:200] + found[300:])
+
+    tokens = llm.createDataFrame([(i, t.tobytes()) for i, t in enumerate(texts)], "doc_id long, ids binary").coalesce(1)
+    assert max(recall(tokens, "<u4")) < 0.2
+    for partitions in (1, 3):
+        copies, others = recall(packing.routed(tokens, idf, partitions), packing.kind(idf))
+        assert copies > 0.9 and others > 0.6
+
+
 def plain_lines(rows, least=10, first=False):
     keyed = [[(line, line.strip(" \t\n\x0b\x0c\r").translate({i: i + 32 for i in range(65, 91)})) for line in (t or "").split("\n")] for _, t in rows]
     count = Counter(k for lines in keyed for k in {k for _, k in lines if k})
