@@ -50,7 +50,7 @@ ROUNDS, TRUST, SUPPORT = 3, 0.8, 3
 
 
 def _matches(text: Column, kind: str) -> Column:
-    """Matches with the length of the gap before each and the end of its text, the context."""
+    """Matches with the length of the gap before each and the end of its text."""
     found, pieces = F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(0)), F.split(text, PATTERNS[kind], -1)
     gaps = F.transform(pieces, lambda p: F.length(p))
     tails = F.transform(pieces, lambda p: F.substring(p, -CONTEXT_CHARS, CONTEXT_CHARS))
@@ -79,15 +79,22 @@ def _valid(kind: Column, match: Column) -> Column:
 
 def occurrences(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows: row, doc_id, key), and (spans: row, kind, start, end, match, left) of the base kinds and of
-    all identifier-like strings. ``row`` numbers the rows; ``key`` is a hash of the text."""
+    all identifier-like strings. ``left`` is the text before a match, other matches too. ``row`` numbers
+    the rows; ``key`` is a hash of the text."""
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("t"))
     columns = [_matches(F.col("t"), k).alias(k) for k in PATTERNS]
     rows = stored(read.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.xxhash64("t").alias("key"), *columns), "pii-matches")
     shape = "array<struct<kind: string, i: int, gap: int, match: string, left: string>>"
 
+    def left(kind: str, m: Column, i: Column) -> Column:
+        # each earlier match has a character at least, so no more of them can reach into the context
+        before = F.transform(F.sequence(F.greatest(i - CONTEXT_CHARS, F.lit(0)), i - 1), lambda j: F.concat(F.get(F.col(kind), j)["left"], F.get(F.col(kind), j)["match"]))
+        whole = F.concat(F.array_join(before, ""), m["left"])
+        return F.when((m["gap"] >= CONTEXT_CHARS) | (i == 0), m["left"]).otherwise(F.substring(whole, -CONTEXT_CHARS, CONTEXT_CHARS))
+
     def listed(kind: str) -> Column:
         return F.transform(F.col(kind), lambda m, i: F.struct(
-            F.lit(kind).alias("kind"), i.alias("i"), m["gap"].alias("gap"), m["match"].alias("match"), m["left"].alias("left"))).cast(shape)
+            F.lit(kind).alias("kind"), i.alias("i"), m["gap"].alias("gap"), m["match"].alias("match"), left(kind, m, i).alias("left"))).cast(shape)
 
     each = F.concat(*map(listed, PATTERNS))
     flat = rows.select("row", F.explode(each).alias("m")).select("row", "m.*").where("match is not null")

@@ -165,6 +165,22 @@ def test_pii_contexts_find_identifiers(llm):
     assert [r["__llm_masked"] for r in clean] == ["some words here, call me at [PHONE] today", "some words here, call me at [ID] today"]
 
 
+def test_pii_contexts_reach_over_earlier_matches(llm):
+    known = [(i, f"call line {i % 10} +1 555 010 {1000 + i} today") for i in range(20)]
+    known += [(30 + i, f"all ids: 0000-0000-{2000 + i}, a{i}@b.cd") for i in range(20)]
+    texts = known + [(60, "call line 2 0049-5550-9876 today"), (61, "all ids: 0049-5550-1111, 0049-5550-2222"), (62, "call part 2 0049-5550-1234 today")]
+    df = llm.createDataFrame(texts, "doc_id long, text string")
+    _, spans = pii.occurrences(df)
+    left = {r["match"]: r["left"] for r in spans.collect()}
+    assert left["0049-5550-9876"] == "call line 2 " and left["0049-5550-2222"] == "all ids: 0049-5550-1111, "
+    assert left["+1 555 010 1003"] == "call line 3 " and left["a4@b.cd"] == "all ids: 0000-0000-2004, "
+    got = {r["doc_id"]: r["spans"] for r in pii.contract(df).collect()}
+    assert "id:12:26" in got[60] and "id:25:39" in got[61] and "id:" not in got[62]
+    long = "x " * 60 + "1 2 é3 " * 30 + "9999-8888-7777"
+    _, spans = pii.occurrences(llm.createDataFrame([(1, long)], "doc_id long, text string"))
+    assert {r["match"]: r["left"] for r in spans.collect()}["9999-8888-7777"] == long[:-14][-80:]
+
+
 @pytest.fixture(scope="module")
 def staged(llm, tmp_path_factory):
     """Each stage's input and output at the smallest scale, written and read again."""
