@@ -2,8 +2,9 @@
 
 Seeds are the entities of four base kinds (email, ip, card, phone), found by patterns. Their
 lexical context (the one and the two words to the left, lower case, digits as 0) induces
-patterns. Every identifier-like string (a run of identifier characters with digits) is an
-instance; each occurrence is an edge of a graph between patterns and instances. Spark scores it
+patterns. Every identifier-like string of any length is an instance: a token with a digit or an @
+inside, and a group of digits or capitals with digits that the base kinds' separators join (from
+one start the longest that no base span touches). A token without digit and @ is none. Each occurrence is an edge of a graph between patterns and instances. Spark scores it
 in rounds: a pattern is trusted as far as its distinct instances are known, and an unknown
 instance by the patterns that it stands in (noisy or). Occurrences of trusted instances in
 trusted patterns that no base span covers are added as spans of kind ``id``.
@@ -37,14 +38,16 @@ PATTERNS = {
     "ip": r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}",
     "card": r"(?<![0-9])[0-9](?:[\x20-]?[0-9]){11,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    FOUND: r"(?<![A-Za-z0-9._@%+-])[A-Za-z._@%+-]*+[0-9][A-Za-z0-9._@%+-]*+",
+    FOUND: r"(?<![A-Za-z0-9._@%+:-])[A-Za-z._%+:-]*+(?:[0-9]|@[A-Za-z0-9])(?:[A-Za-z0-9._@%+:-]*[A-Za-z0-9])?+",
+    "group": r"(?<![A-Za-z0-9._@%+:-])\(?[A-Z]*+[0-9][A-Z0-9]*+(?![A-Za-z])"
+             r"(?:(?:[\x20.-]?\(|\)?[\x20.-]|\))(?:[A-Z]*+[0-9][A-Z0-9]*+|[A-Z]{4}(?=\x20))(?![A-Za-z]))++",
 }
 #: What a text must hold to be searched for a kind at all.
 NEEDS = {"email": "@", "ip": ".", "phone": "+"}
 IP = r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})(?:\.|$)){4}$"
 
-# An identifier has so many characters and digits; a context reaches so far to the left.
-ID_CHARS, ID_DIGITS, CONTEXT_CHARS = 8, 4, 80
+# A context reaches so far to the left.
+CONTEXT_CHARS = 80
 # Rounds of the graph; trust that adds a span; known instances that a pattern needs at least.
 ROUNDS, TRUST, SUPPORT = 3, 0.8, 3
 
@@ -55,7 +58,7 @@ def _matches(text: Column, kind: str) -> Column:
     gaps = F.transform(pieces, lambda p: F.length(p))
     tails = F.transform(pieces, lambda p: F.substring(p, -CONTEXT_CHARS, CONTEXT_CHARS))
     columns, fields = [gaps.alias("gap"), found.alias("match"), tails.alias("left")], "gap: int, match: string, left: string"
-    need = F.contains(text, F.lit(NEEDS[kind])) if kind in NEEDS else text.rlike("[0-9]")
+    need = F.contains(text, F.lit(NEEDS[kind])) if kind in NEEDS else text.rlike("[0-9@]")
     return F.when(need, F.arrays_zip(*columns)).otherwise(F.array().cast(f"array<struct<{fields}>>"))
 
 
@@ -74,7 +77,7 @@ def _valid(kind: Column, match: Column) -> Column:
     return (F.when(kind == "email", F.lit(True)).when(kind == "ip", match.rlike(IP))
             .when(kind == "card", F.when((n >= 12) & (n <= 19), luhn(digits)).otherwise(False))
             .when(kind == "phone", (n >= 9) & (n <= 15))
-            .otherwise((F.length(match) >= ID_CHARS) & (n >= ID_DIGITS)))
+            .otherwise(F.lit(True)))
 
 
 def occurrences(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -116,14 +119,16 @@ def contexts(left: Column) -> Column:
 def graph(spans: DataFrame) -> DataFrame:
     """Occurrences of instances: row, start, end, instance, patterns, seed. Base spans are the
     seeds; the others are identifier-like strings that no base span touches."""
-    base = F.col("kind") != FOUND
+    base = F.col("kind").isin(KINDS)
     order = Window.partitionBy("row").orderBy("start", ~base)
     back = Window.partitionBy("row").orderBy(F.desc("start"), ~base)
     placed = spans.select(
         "*", F.max(F.when(base, F.col("end"))).over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("before"),
         F.min(F.when(base, F.col("start"))).over(back.rowsBetween(Window.unboundedPreceding, 0)).alias("after"))
     touched = F.coalesce(F.col("before") > F.col("start"), F.lit(False)) | F.coalesce(F.col("after") < F.col("end"), F.lit(False))
-    return placed.where(base | ~touched).select("row", "start", "end", F.lower("match").alias("instance"), contexts(F.col("left")).alias("patterns"), base.alias("seed"))
+    longest = F.max(F.when(~base, F.col("end"))).over(Window.partitionBy("row", "start"))
+    kept = placed.where(base | ~touched).withColumn("longest", longest).where(base | (F.col("end") == F.col("longest")))
+    return kept.select("row", "start", "end", F.lower("match").alias("instance"), contexts(F.col("left")).alias("patterns"), base.alias("seed"))
 
 
 def score_patterns(found: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT) -> tuple[DataFrame, DataFrame]:
@@ -149,7 +154,7 @@ def find(docs: DataFrame, trust: float = TRUST, rounds: int = ROUNDS, support: i
     added = (found.where("not seed").select("row", "start", "end", "instance", F.explode("patterns").alias("pattern"))
              .join(patterns.where(F.col("trust") >= trust), "pattern").join(instances.where(F.col("belief") >= trust), "instance")
              .select("row", F.lit(FOUND).alias("kind"), "start", "end").distinct())
-    every = spans.where(F.col("kind") != FOUND).select("row", "kind", "start", "end").unionByName(added)
+    every = spans.where(F.col("kind").isin(KINDS)).select("row", "kind", "start", "end").unionByName(added)
     place = F.array_position(F.array(*[F.lit(k) for k in [*KINDS, FOUND]]), F.col("kind"))
     by_row = every.groupBy("row").agg(F.array_sort(F.collect_list(F.struct(F.col("start").cast("long").alias("start"), place.alias("place"), "kind", F.col("end").cast("long").alias("end")))).alias("s"))
     return (rows.join(by_row, "row", "left")

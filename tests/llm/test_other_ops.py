@@ -181,6 +181,17 @@ def test_pii_contexts_reach_over_earlier_matches(llm):
     assert {r["match"]: r["left"] for r in spans.collect()}["9999-8888-7777"] == long[:-14][-80:]
 
 
+def test_pii_instances_of_any_form(llm):
+    known = [(i, f"some words here, call me at +1 555 010 {1000 + i} today") for i in range(60)]
+    forms = ["555 010 4567", "(020) 7946 0958", "GB82 WEST 1234 5698 7654 32", "4471923", "bob@intranet", "fe80::1ff:fe23:4567", "12", "0049-5550-9876"]
+    new = [(100 + i, f"some words here, call me at {x} today") for i, x in enumerate(forms)]
+    other = [(200 + i, f"the part number is {x} today") for i, x in enumerate(["777 020 1234", "8812345", "eve@extranet", "13"])]
+    df = llm.createDataFrame(known + new + other, "doc_id long, text string")
+    got = {r["doc_id"]: r["__llm_masked"] for r in pii.redact(df).collect()}
+    assert {got[i] for i, _ in new} == {"some words here, call me at [ID] today"}
+    assert all("[ID]" not in got[i] for i, _ in other)
+
+
 @pytest.fixture(scope="module")
 def staged(llm, tmp_path_factory):
     """Each stage's input and output at the smallest scale, written and read again."""
