@@ -3,7 +3,9 @@
 1. The standard library's parser streams events; they become lines (one block of running text
    each) with their characters, their tags and the container that they stand in. Elements that
    never hold an article's text (navigation, headers, footers, asides, forms, scripts, styles;
-   and those whose class, id or role says so: adverts, notices, comments, ...) give no lines.
+   and those whose class, id or role says so: adverts, notices, comments, ...) give no lines. A name
+   hides neither an article or main nor what holds one (inside an article it still does: an article
+   there is a comment on it). A page that is left without lines gets back those that names hid.
 2. Each line has a text-to-tag ratio. The ratios are smoothed by a Gaussian along the page, and
    clustered in two with their slopes, one cluster held at the origin: lines outside it are content.
 3. A region is a container with its lines. Regions most of whose text is content lines, and whose
@@ -38,10 +40,11 @@ ENDS_PARAGRAPH = BLOCK - {"html", "head", "body", "option", "caption", "td", "th
 MARKED = {"article", "main"}
 CONTAINERS = MARKED | {"body", "div", "section", "td"}
 SAME_CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-# Words in a class, id or role that mark what is not the article.
-NOT_ARTICLE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|nav\w*|menu\w*|breadcrumbs?|sidebar|side|aside|footer|header|masthead|comments?|replies|disqus|"
-    r"cookies?|consent|notices?|alert|popup|modal|newsletter|subscribe|signup|login|share|sharing|social|related|recommend\w*|widget|search|copyright|complementary|contentinfo)(?:$|[\s_-])", re.I)
+# Words in a class, id or role that mark what is not the article: whole names, made of these words alone.
+WORDS = (
+    r"(?:ads?|advert[a-z]*|sponsor[a-z]*|promo[a-z]*|banner|nav[a-z]*|menu[a-z]*|breadcrumbs?|sidebar|side|aside|footer|header|masthead|comments?|replies|disqus|"
+    r"cookies?|consent|notices?|alert|popup|modal|newsletter|subscribe|signup|login|share|sharing|social|related|recommend[a-z]*|widget|search|copyright|complementary|contentinfo)")
+NOT_ARTICLE = re.compile(rf"(?<!\S){WORDS}(?:[_-]{WORDS})*(?!\S)", re.I)
 SIGMA = 1.0
 
 
@@ -50,23 +53,42 @@ class Lines(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, int]] = []  # tag, without text, container
+        self.open: list[tuple[str, bool, int, int]] = []  # tag, without text, container, innermost element hidden by name
+        self.named_in: list[int] = [0]  # for each element hidden by name the one around it; 0: none
+        self.holds: list[bool] = [True]  # whether it holds an article or main
         self.regions = 1
+        self.parents = [0]
         self.marked: set[int] = set()
-        self.parts: list[str] = []
+        self.parts: list[tuple[str, int]] = []  # text, innermost element hidden by name
         self.tags = 0
-        self.lines: list[tuple[str, int, int]] = []  # text, tags, container
+        self.blocks: list[tuple[list[tuple[str, int]], int, int]] = []  # parts, tags, container
 
     def line(self) -> None:
-        if text := " ".join("".join(self.parts).split()):
-            self.lines.append((text, self.tags, self.open[-1][2] if self.open else 0))
+        if any(text.strip() for text, _ in self.parts):
+            self.blocks.append((self.parts, self.tags, self.open[-1][2] if self.open else 0))
             self.tags = 0
-        self.parts.clear()
+        self.parts = []
+
+    def lines(self) -> list[tuple[str, int, int]]:
+        """Text, tags and container of each line."""
+        shown = [True]
+        for around, holds in zip(self.named_in[1:], self.holds[1:]):
+            shown.append(holds and shown[around])
+        for every in (False, True):
+            out, carried = [], 0
+            for parts, tags, region in self.blocks:
+                carried += tags
+                if text := " ".join("".join(t for t, by in parts if every or shown[by]).split()):
+                    out.append((text, carried, region))
+                    carried = 0
+            if out:
+                break
+        return out
 
     def handle_starttag(self, tag, attrs):
         if tag == "br":
             self.tags += 1
-            self.parts.append(" ")
+            self.parts.append((" ", self.open[-1][3] if self.open else 0))
             return
         if tag in BLOCK:
             self.line()
@@ -74,9 +96,9 @@ class Lines(HTMLParser):
         if tag in VOID:
             return
         if tag in MARKED:  # no article stands in a menu: what is open there was never closed
-            while any(t in NO_TEXT for t, _, _ in self.open):
+            while any(t in NO_TEXT for t, *_ in self.open):
                 self.open.pop()
-        if tag in ENDS_PARAGRAPH and any(t == "p" for t, _, _ in self.open):
+        if tag in ENDS_PARAGRAPH and any(t == "p" for t, *_ in self.open):
             self.leave({"p"}, CONTAINERS | {"li", "blockquote"})
         if tag in SAME_CLOSES:
             self.leave(SAME_CLOSES[tag], {"ul", "ol", "dl", "table", "select"})
@@ -85,15 +107,25 @@ class Lines(HTMLParser):
         inside = region in self.marked
         if tag == "header" and inside:  # an article's own header: its headings stay
             hidden = hidden or "headings"
-        elif tag in NO_TEXT or (tag not in ("html", "body") and self.named(attrs)):
+        elif tag in NO_TEXT:
             hidden = True
         elif hidden == "headings" and tag in HEADINGS:
             hidden = False
+        by = self.open[-1][3] if self.open else 0
+        if tag in MARKED and not any(t == "article" for t, *_ in self.open):
+            at = by
+            while not self.holds[at]:
+                self.holds[at], at = True, self.named_in[at]
+        elif tag not in ("html", "body") and self.named(attrs):
+            self.named_in.append(by)
+            self.holds.append(False)
+            by = len(self.holds) - 1
         if tag in CONTAINERS and not inside:
+            self.parents.append(region)
             region, self.regions = self.regions, self.regions + 1
             if tag in MARKED:
                 self.marked.add(region)
-        self.open.append((tag, hidden, region))
+        self.open.append((tag, hidden, region, by))
 
     @staticmethod
     def named(attrs) -> bool:
@@ -117,14 +149,14 @@ class Lines(HTMLParser):
         if tag in BLOCK or tag in NO_TEXT:
             self.line()
         self.tags += 1
-        if any(t == tag for t, _, _ in self.open):
+        if any(t == tag for t, *_ in self.open):
             while self.open.pop()[0] != tag:
                 pass
 
     def handle_data(self, data):
         if self.open and self.open[-1][1]:
             return
-        self.parts.append(data)
+        self.parts.append((data, self.open[-1][3] if self.open else 0))
 
 
 def smoothed(ratio: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -157,7 +189,7 @@ def main_text(html: str) -> str:
     parser.feed(html)
     parser.close()
     parser.line()
-    lines = parser.lines
+    lines = parser.lines()
     if not lines:
         return ""
     length = np.array([len(text) for text, _, _ in lines], float)

@@ -32,6 +32,18 @@ def test_main_text():
         html_text.main_text(odd)
 
 
+def test_names_hide_no_article():
+    body = "".join(f"<p>{'words of a story ' * 20}</p>" for _ in range(3))
+    want = html_text.main_text(f"<body><article>{body}</article></body>")
+    assert len(want) > 900
+    for page in (f'<div class="content-sidebar-wrap">{body}</div>', f'<div class="site has-sidebar"><article>{body}</article></div>', f'<article class="post comments-open">{body}</article>',
+                 f'<div class="no-comments">{body}</div>', f'<div class="side-by-side">{body}</div>', f'<div id="sidebar"><main>{body}</main></div>', f'<div class="widget"><div class="menu"><article class="share">{body}</article></div></div>',
+                 f'<div class="widget">{body}</div>'):
+        assert html_text.main_text(f"<body>{page}</body>") == want, page
+    rest = '<div class="x nav-menu">Menu</div><div class="cookie-notice">Cookies</div><p>Now <b class="ad">buy</b> end</p><section id="comments"><article><p>No</p></article></section>'
+    assert html_text.main_text(f"<body><article>{body}{rest}</article></body>") == want + "\nNow end"
+
+
 def test_pages_query(llm):
     def plain(page):
         m = re.search(r"<article>(.*?)(?:</article>|$)", page, re.S)
