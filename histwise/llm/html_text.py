@@ -8,9 +8,10 @@
    there is a comment on it). A page that is left without lines gets back those that names hid.
 2. Each line has a text-to-tag ratio. The ratios are smoothed by a Gaussian along the page, and
    clustered in two with their slopes, one cluster held at the origin: lines outside it are content.
-3. A region is a container with its lines. Regions most of whose text is content lines, and whose
-   ratio as a whole is on the content's side, are the article, with all their lines, so a short heading or paragraph stays with its article. Where
-   a page marks its article, only marked regions count, and all of them if none passes.
+3. Where a page marks its articles, all lines of every marked one are the text. Elsewhere a region is a
+   container with its own lines; regions pass if most of their text is content lines and their ratio
+   as a whole is on the content's side. The lowest container that holds all that passed is the
+   article, with all its lines, so short headings and paragraphs stay, and what stands between.
 
 Inputs: null html is an empty page with empty text; unclosed or stray tags, pages cut off in the
 middle and pages of any length are read whole; every row gives one row, repeated ones too; a
@@ -195,18 +196,23 @@ def main_text(html: str) -> str:
     length = np.array([len(text) for text, _, _ in lines], float)
     tags = np.array([max(1, tags) for _, tags, _ in lines], float)
     content, halfway = content_lines(length / tags)
-    region = np.array([r for _, _, r in lines])
-    number = int(region.max()) + 1
+    region, number = np.array([r for _, _, r in lines]), parser.regions
     chars, inside = np.bincount(region, length, number), np.bincount(region, length * content, number)
     # Smoothing lifts a short line beside the article: the region's own ratio must hold as well.
     passed = (inside >= 0.5 * chars) & (chars >= halfway * np.bincount(region, tags, number)) & (chars > 0)
     if not passed.any():
         passed[np.argmax(inside)] = True
-    marked = np.zeros(number, bool)
-    marked[[r for r in parser.marked if r < number]] = True
-    if marked[region].any():
-        passed = passed & marked if (passed & marked).any() else marked
-    return "\n".join(text for (text, _, r) in lines if passed[r])
+    kept = np.zeros(number, bool)
+    kept[list(parser.marked)] = True
+    if not kept[region].any():
+        held = passed.astype(int)  # a container's number is above that of the one around it
+        for r in range(number - 1, 0, -1):
+            held[parser.parents[r]] += held[r]
+        kept[:] = False
+        kept[np.nonzero(held == passed.sum())[0][-1]] = True
+        for r in range(1, number):
+            kept[r] |= kept[parser.parents[r]]
+    return "\n".join(text for (text, _, r) in lines if kept[r])
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -44,6 +44,19 @@ def test_names_hide_no_article():
     assert html_text.main_text(f"<body><article>{body}{rest}</article></body>") == want + "\nNow end"
 
 
+def test_short_blocks_stay_with_their_article():
+    long = ["words of a story " * n for n in (20, 14, 25, 18)]
+    links = "<div><a href=x>One</a> <a href=y>Two</a> <a href=z>Three</a></div>"
+    for tag in ("div", "section"):
+        blocks = [f"<h2><a href=t><b>Head</b></a></h2>", long[0], "<i><b>No.</b></i>", long[1], "Short", long[2], "<span><b>So it is.</b></span>", long[3]]
+        page = "".join(f"<{tag}>{b if b[:3] == '<h2' else f'<p>{b}</p>'}</{tag}>" for b in blocks)
+        got = html_text.main_text(f"<body>{links}<div>{page}</div>{links}</body>").split("\n")
+        assert [x[:9] for x in got] == ["Head", "words of ", "No.", "words of ", "Short", "words of ", "So it is.", "words of "]
+    several = "".join(f"<article><p>{x}</p></article>" for x in (long[0], "<i><b><u>Few</u></b></i>", long[1]))
+    assert "Few" in html_text.main_text(f"<body>{links}{several}{links}</body>").split("\n")
+    assert "One" not in html_text.main_text(f"<body>{links}{several}{links}</body>")
+
+
 def test_pages_query(llm):
     def plain(page):
         m = re.search(r"<article>(.*?)(?:</article>|$)", page, re.S)
