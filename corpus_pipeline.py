@@ -40,15 +40,19 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates: its smallest doc_id; of rows that repeat
+    """One document of each class of near-duplicates: its smallest doc_id; of the class's rows that repeat
     this id any one, of a class without ids any one row."""
     ready(spark)
     found = stored(simhash.near_duplicates(docs.select("doc_id", "text")), "near-duplicates")
-    best = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"))
-    ids = best.select(F.col("doc_id").alias(f"{OWN}id"), (F.col("n") > 1).alias(f"{OWN}repeated"))
-    kept = docs.join(ids, docs["doc_id"].cast("long") == ids[f"{OWN}id"])
+    least = F.col("doc_id") == F.col("component_id")
+    ids = found.where("doc_id is not null").groupBy(F.col("doc_id").alias(f"{OWN}id")).agg((F.count("*") > 1).alias(f"{OWN}repeated"), F.max(least).alias(f"{OWN}least"))
+    kept = docs.join(ids.where(f"{OWN}least").drop(f"{OWN}least"), docs["doc_id"].cast("long") == F.col(f"{OWN}id"))
     single = kept.where(~F.col(f"{OWN}repeated")).drop(f"{OWN}id", f"{OWN}repeated")
-    several = kept.where(f"{OWN}repeated").dropDuplicates([f"{OWN}id"]).drop(f"{OWN}id", f"{OWN}repeated")
+    # rows that repeat an id may be of several classes: the text tells which
+    best = found.where(least).groupBy(F.col("root").alias(f"{OWN}root")).agg(F.min("doc_id").alias(f"{OWN}best"), F.min("fp").alias(f"{OWN}code"))
+    several = kept.where(f"{OWN}repeated").withColumn(f"{OWN}fp", simhash.coded(spark)(F.coalesce(F.col("text"), F.lit(""))))
+    several = several.join(best, (F.col(f"{OWN}id") == F.col(f"{OWN}best")) & (F.col(f"{OWN}fp") == F.col(f"{OWN}code")))
+    several = several.dropDuplicates([f"{OWN}root"]).drop(*(f"{OWN}{c}" for c in ("id", "repeated", "fp", "root", "best", "code")))
     nameless = docs.where("doc_id is null")
     nameless = nameless.withColumn(f"{OWN}fp", simhash.coded(spark)(F.coalesce(F.col("text"), F.lit(""))))
     lone = found.where("doc_id is null and component_id is null").select(F.col("fp").alias(f"{OWN}lone")).distinct()

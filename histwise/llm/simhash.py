@@ -224,15 +224,15 @@ def links(codes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, words_per_shingle: int = WORDS_PER_SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """doc_id, fp (64 bits as a long) and component_id (smallest doc_id of the class) of every
-    row of ``docs`` (doc_id, text)."""
+    """doc_id, fp (64 bits as a long), root (which names the class) and component_id (smallest doc_id of
+    the class) of every row of ``docs`` (doc_id, text)."""
     fps = stored(fingerprints(docs, words_per_shingle), "simhash")
     by_code = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
     tied = components(links(fps.select("fp").distinct(), max_bits))
     rooted = by_code.join(tied, by_code["fp"] == tied["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = stored(rooted.join(names, "root").select(F.col("fp").alias("code"), "component_id"), "simhash-classes")
-    return fps.join(classes, fps["fp"] == classes["code"]).select("doc_id", "fp", "component_id")
+    classes = stored(rooted.join(names, "root").select(F.col("fp").alias("code"), "root", "component_id"), "simhash-classes")
+    return fps.join(classes, fps["fp"] == classes["code"]).select("doc_id", "fp", "root", "component_id")
 
 
 def contract(docs: DataFrame) -> DataFrame:

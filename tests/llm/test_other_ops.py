@@ -249,6 +249,14 @@ def test_pipeline_stages(staged):
     assert {r["doc_id"] for r in packed.collect()} == {r["doc_id"] for r in e.collect()}
 
 
+def test_near_dedup_keeps_a_row_of_each_class_where_ids_repeat(llm):
+    import corpus_pipeline
+    a, b, c, d = (" ".join(f"{x}{i * 7919 % 1000}" for i in range(60)) for x in "abcd")
+    df = llm.createDataFrame([(7, a), (8, a), (7, b), (9, b), (7, b), (3, c), (5, c), (5, d)], "doc_id long, text string")
+    got = dict(corpus_pipeline.STAGES)["near_dedup"](llm, df, SF).collect()
+    assert Counter(map(tuple, got)) == Counter([(7, a), (7, b), (3, c), (5, d)])
+
+
 def test_pipeline_edges(llm, docs, rows):
     import corpus_pipeline
     for frame in (docs, docs.limit(0)):
