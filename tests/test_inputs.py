@@ -47,7 +47,7 @@ def test_sizing_scales_with_input():
 
 def test_input_bytes_reads_metadata(spark):
     import os
-    from conftest import SF001
+    from paths import SF001
     from histwise.session import input_bytes
     p = f"{SF001}/events.parquet"
     expected = (os.path.getsize(p) if os.path.isfile(p) else

@@ -3,7 +3,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from paths import SF001
 from histwise.operators.model import GBTParams, predict, train_all, train_cv
 from histwise.plans import jobs, training
 from histwise.plans.context import FeatureContext

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF001
+from paths import SF001
 from oracle_check import compare, duck
 
 SQL = E.oracle_sql()

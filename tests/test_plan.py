@@ -1,6 +1,6 @@
 """Plan shape of the fused job: one exchange on the question rows for all user windows."""
 
-from conftest import SF001
+from paths import SF001
 from histwise.plans.context import FeatureContext
 from histwise.plans.matrix import feature_matrix
 from histwise.sources.testdata import load_inputs
