@@ -6,7 +6,7 @@ import os
 import uuid
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from histwise.session import ensure_checkpoint_dir
@@ -36,6 +36,27 @@ def text_or_empty(name: str = "text"):
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+#: A key counts as hot if it holds more than this share of all rows; so there are fewer than 1000.
+HOT_SHARE = 1e-3
+
+
+def hot_join(rows: DataFrame, one: DataFrame, keys: list[str], n: str, spread: Column) -> DataFrame:
+    """``rows`` joined with ``one``, which has a row for each of their keys (none of them null) and the
+    number ``n`` of rows with this key.
+
+    Keys of more than ``HOT_SHARE`` of all rows are fewer than 1 / HOT_SHARE; these are broadcast. Their
+    rows go through the shuffle of the others dealt by ``spread``, so no task gets them together."""
+    total = one.agg(F.sum(n)).first()[0] or 0
+    values = [c for c in one.columns if c not in keys and c != n]
+    hot = one.where(F.col(n) > total * HOT_SHARE).select(*keys, F.struct(*values).alias(f"{OWN}hot"))
+    cold = one.select(*keys, F.struct(*values).alias(f"{OWN}cold"), F.lit(0).cast("long").alias(f"{OWN}deal"))
+    out = rows.join(F.broadcast(hot), keys, "left")
+    out = out.withColumn(f"{OWN}deal", F.when(F.col(f"{OWN}hot").isNull(), F.lit(0)).otherwise(F.pmod(spread, F.lit(1_000_000)) + 1).cast("long"))
+    out = out.join(cold, [*keys, f"{OWN}deal"], "left")
+    both = F.coalesce(f"{OWN}hot", f"{OWN}cold")
+    return out.select(*rows.columns, *[both[v].alias(v) for v in values])
+
+
 def ready(spark: SparkSession) -> SparkSession:
     """Let Python workers import this package also where it is not installed but only on the
     driver's path, at the same place on every node."""
