@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from histwise.llm import bpe, chat, collocations, exact_dedup, html_text, line_dedup, packing, pii, simhash, topk, toxicity
+from histwise.llm import bpe, chat, collocations, exact_dedup, html_text, line_dedup, packing, pii, repair, simhash, topk, toxicity, warc
 from histwise.llm.common import table
 
 #: The vocabulary of the contract's queries, a file on every node.
@@ -54,10 +54,18 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.contract(table(spark, sf_dir, "documents"))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.contract(table(spark, sf_dir, "pages"))
+
+
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.contract(table(spark, sf_dir, "conversations"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.contract(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_simhash, op3_html, op4_topk, op5_chat, op6_bpe, op7_line_dedup, op8_exact_dedup, op9_toxicity, op10_pii, op13_collocations)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_simhash, op3_html, op4_topk, op5_chat, op6_bpe, op7_line_dedup, op8_exact_dedup, op9_toxicity, op10_pii, op11_warc, op12_repair, op13_collocations)}
 
-ORACLES = {"op4_topk": topk.SQL, "op5_chat": chat.SQL, "op7_line_dedup": line_dedup.SQL, "op8_exact_dedup": exact_dedup.SQL, "op13_collocations": collocations.SQL}
+ORACLES = {"op4_topk": topk.SQL, "op5_chat": chat.SQL, "op7_line_dedup": line_dedup.SQL, "op8_exact_dedup": exact_dedup.SQL, "op11_warc": warc.SQL, "op13_collocations": collocations.SQL}

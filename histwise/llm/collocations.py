@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from histwise.llm.common import hot_join, ready, stored, text_or_empty
 
-MODULUS = 8
+MODULUS = 16
 #: Upper bound of the filter of frequent pairs: 64 MiB.
 MAX_BITS = 1 << 29
 PROBES = 4
@@ -150,6 +150,27 @@ def runs(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
         at = to
 
 
+def gathered(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+    """The rows of short batches in runs of some ``RUN_BYTES`` of text, so that equal words meet in one run."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.column(column).nbytes
+        if size >= RUN_BYTES:
+            yield from runs(pa.Table.from_batches(held).combine_chunks().to_batches()[0], column)
+            held, size = [], 0
+    if size:
+        yield from runs(pa.Table.from_batches(held).combine_chunks().to_batches()[0], column)
+
+
+def summed(keys: np.ndarray, f: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys, the first place of each, and the sums of their ``f``."""
+    found, at, back = np.unique(keys, return_index=True, return_inverse=True)
+    n = np.zeros(len(found), np.int64)
+    np.add.at(n, back, f)
+    return found, at, n
+
+
 def dictionary(docs: DataFrame, max_words: int = 3, modulus: int = MODULUS) -> DataFrame:
     """lang, chunk, owned (starts that it owns) and f (times it was parsed) of each distinct chunk."""
 
@@ -186,14 +207,11 @@ def frequent_pairs(chunks: DataFrame, min_count: int) -> DataFrame:
     """Hashes (h) of pairs that sum to ``min_count`` or more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in runs(batch, "chunk"):
-                w = Chunks(part)
-                at = np.flatnonzero(w.own & together(w.first, 2))
-                found, back = np.unique(w.pairs()[at], return_inverse=True)
-                n = np.zeros(len(found), np.int64)
-                np.add.at(n, back, w.f[at])
-                yield pa.record_batch({"h": found.view(np.int64), "n": n})
+        for part in gathered(batches, "chunk"):
+            w = Chunks(part)
+            at = np.flatnonzero(w.own & together(w.first, 2))
+            found, _, n = summed(w.pairs()[at], w.f[at])
+            yield pa.record_batch({"h": found.view(np.int64), "n": n})
 
     return chunks.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count).select("h")
 
@@ -222,28 +240,23 @@ def phrase_counts(chunks: DataFrame, held: np.ndarray, min_count: int, max_words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filled = shared.value
-        for batch in batches:
-            for part in runs(batch, "chunk"):
-                w = Chunks(part)
-                if not len(w.ids):
-                    continue
-                at = probes(w.pairs(), len(filled) * 64)
-                maybe = ((filled[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)).all(axis=1)
-                # words: one row for each (lang, word) of the run
-                key = w.lang.astype(np.int64) * len(w.names) + w.ids
-                found, back = np.unique(key[w.own], return_inverse=True)
-                f = np.zeros(len(found), np.int64)
-                np.add.at(f, back, w.f[w.own])
+        for part in gathered(batches, "chunk"):
+            w = Chunks(part)
+            at = probes(w.pairs(), len(filled) * 64)
+            good = w.own.copy()
+            maybe = ((filled[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)).all(axis=1)
+            # a number for each (lang, first words) of the run; the next word makes it the next length's
+            key = w.lang.astype(np.int64) * len(w.names) + w.ids
+            for n in range(1, max_words + 1):
+                at = np.flatnonzero(good & together(w.first, n))
+                if not len(at):
+                    break
+                _, one, f = summed(key[at], w.f[at])
+                one = at[one]
                 yield pa.record_batch({
-                    "lang": w.langs.take(pa.array(found // len(w.names))), "phrase": w.names.take(pa.array(found % len(w.names))).cast(pa.string()),
-                    "words": pa.array(np.ones(len(found), np.int32)), "f": f})
-                good = w.own.copy()
-                for n in range(2, max_words + 1):
-                    good &= shifted(maybe, n - 2)
-                    at = np.flatnonzero(good & together(w.first, n))
-                    if len(at):
-                        yield pa.record_batch({
-                            "lang": w.langs.take(pa.array(w.lang[at])), "phrase": w.phrases(at, n), "words": pa.array(np.full(len(at), n, np.int32)), "f": w.f[at]})
+                    "lang": w.langs.take(pa.array(w.lang[one])), "phrase": w.phrases(one, n), "words": pa.array(np.full(len(one), n, np.int32)), "f": f})
+                good &= shifted(maybe, n - 1)
+                key = np.unique(key, return_inverse=True)[1] * len(w.names) + shifted(w.ids, n)
 
     rows = chunks.mapInArrow(run, "lang string, phrase string, words int, f long")
     return rows.groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f")).where(F.col("f") >= min_count)
@@ -265,14 +278,15 @@ def collocations(docs: DataFrame, max_words: int = 3, min_count: int = 10, share
     counts = stored(phrase_counts(chunks, pair_filter(pairs), min_count, max_words), "phrase-counts")
     n = chunks.groupBy("lang").agg(F.sum(F.col("owned") * F.col("f")).alias("n"))
     candidates = counts.where("words >= 2")
-    cuts = parts_of(candidates)
-    for part, name in (("first", "l"), ("rest", "r")):
-        rows = cuts.groupBy("lang", part).agg(F.count("*").alias("rows"))
-        of_part = counts.select("lang", F.col("phrase").alias(part), F.col("f").alias(name)).join(rows, ["lang", part])
-        cuts = hot_join(cuts, of_part, ["lang", part], "rows", F.xxhash64("phrase", "k"))
-    wide = [F.col(c).cast("decimal(38,0)") for c in ("f", "l", "r")]
-    cuts = cuts.withColumn("wide_a", wide[0]).withColumn("wide_l", wide[1]).withColumn("wide_r", wide[2])
-    cuts = cuts.withColumn("score", F.expr("(1000000 * wide_a * wide_a) div (wide_l * wide_r)"))
+    halves = parts_of(candidates).withColumn("half", F.explode(F.array(F.struct(F.lit(True).alias("left"), F.col("first").alias("part")), F.struct(F.lit(False).alias("left"), F.col("rest").alias("part")))))
+    halves = halves.select("lang", "phrase", "words", "f", "k", "half.left", "half.part")
+    asked = halves.groupBy("lang", "part").agg(F.count("*").alias("asked"))
+    of_part = stored(counts.select("lang", F.col("phrase").alias("part"), F.col("f").alias("of_part")).join(asked, ["lang", "part"]), "phrase-parts")
+    halves = hot_join(halves, of_part, ["lang", "part"], "asked", F.xxhash64("phrase", "k"))
+    cuts = halves.groupBy("lang", "phrase", "words", "f", "k").agg(*[F.max(F.when(F.col("left") == side, F.col("of_part"))).alias(name) for side, name in ((True, "l"), (False, "r"))])
+    for c in ("f", "l", "r"):
+        cuts = cuts.withColumn(f"wide_{c}", F.col(c).cast("decimal(38,0)"))
+    cuts = cuts.withColumn("score", F.expr("(1000000 * wide_f * wide_f) div (wide_l * wide_r)"))
     best = cuts.groupBy("lang", "phrase", "words", F.col("f").alias("a")).agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"))
     inner = candidates.where("words >= 3").select(
         "lang", "f", F.explode(F.expr("flatten(transform(sequence(2, words - 1), m -> transform(sequence(1, words - m + 1), s -> array_join(slice(split(phrase, ' '), s, m), ' '))))")).alias("phrase"))

@@ -44,11 +44,11 @@ def hot_join(rows: DataFrame, one: DataFrame, keys: list[str], n: str, spread: C
     """``rows`` joined with ``one``, which has a row for each of their keys (none of them null) and the
     number ``n`` of rows with this key.
 
-    Keys of more than ``HOT_SHARE`` of all rows are fewer than 1 / HOT_SHARE; these are broadcast. Their
+    Keys of more than ``HOT_SHARE`` of all rows (and of more than one) are fewer than 1 / HOT_SHARE; these are broadcast. Their
     rows go through the shuffle of the others dealt by ``spread``, so no task gets them together."""
     total = one.agg(F.sum(n)).first()[0] or 0
     values = [c for c in one.columns if c not in keys and c != n]
-    hot = one.where(F.col(n) > total * HOT_SHARE).select(*keys, F.struct(*values).alias(f"{OWN}hot"))
+    hot = one.where(F.col(n) > max(total * HOT_SHARE, 1)).select(*keys, F.struct(*values).alias(f"{OWN}hot"))
     cold = one.select(*keys, F.struct(*values).alias(f"{OWN}cold"), F.lit(0).cast("long").alias(f"{OWN}deal"))
     out = rows.join(F.broadcast(hot), keys, "left")
     out = out.withColumn(f"{OWN}deal", F.when(F.col(f"{OWN}hot").isNull(), F.lit(0)).otherwise(F.pmod(spread, F.lit(1_000_000)) + 1).cast("long"))
