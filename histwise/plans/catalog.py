@@ -106,7 +106,7 @@ def feature_matrix_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- composite queries ----------------------------------------------------------------
 from histwise.operators import drift, matrix as M, metrics  # noqa: E402
 from histwise.operators import windows as W  # noqa: E402
-from histwise.operators.model import predict_mean, top_k  # noqa: E402
+from histwise.operators.model import mean_importances, predict_mean, top_k  # noqa: E402
 from histwise.plans import training  # noqa: E402
 from histwise.plans.matrix import FOLD, LABEL, feature_matrix, matrix_columns  # noqa: E402
 
@@ -213,10 +213,7 @@ def q_top_k(spark, sf_dir):
     per_fold = m.groupBy(F.col(FOLD).alias("fold")).agg(
         *[F.count(F.col(c)).cast("double").alias(c) for c in cols])
     long_ = per_fold.unpivot("fold", cols, "feature", "value")
-    f0 = long_.where(F.col("fold") == 0).select("feature", F.col("value").alias("imp_0"))
-    f1 = long_.where(F.col("fold") == 1).select("feature", F.col("value").alias("imp_1"))
-    mean = f0.join(f1, "feature", "inner").select(
-        "feature", ((F.col("imp_0") + F.col("imp_1")) / 2.0).alias("value"))
+    mean = mean_importances([long_.where(F.col("fold") == i).select("feature", "value") for i in (0, 1)])
     return top_k(mean, 30)
 
 

@@ -11,6 +11,7 @@ from histwise.operators import item_stats, skew
 from histwise.operators import windows as W
 from histwise.plans import evaluate as E
 from histwise.session import ensure_checkpoint_dir
+from histwise.sources import tables
 from histwise.sources.inputs import Inputs, bounded_broadcast, with_val_flag
 
 BASE_COLUMNS = ("row_id", "user_id", "timestamp", "content_id", "answered_correctly",
@@ -45,6 +46,10 @@ class FeatureContext:
         ensure_checkpoint_dir(df.sparkSession)
         return df.checkpoint(eager=True)
 
+    def keys(self) -> tables.Keys:
+        """Number and checksum of the question rows' ``row_id``, from one pass over that column of the log (S3)."""
+        return self._once("keys", lambda: tables.keys_of(self.inputs.question_rows("row_id")))
+
     # -- the row frame ----------------------------------------------------------
     def base(self) -> DataFrame:
         """Question rows with ``part`` (broadcast join) and ``val`` (hold-out flag)."""

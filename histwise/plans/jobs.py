@@ -1,11 +1,10 @@
-"""Feature jobs (M1): compute one feature, check it, narrow it, store it.
-
-``build_feature`` is the reference's per-feature job re-expressed on Spark:
-the feature is computed on all rows, its row count is checked against the
-question rows in the same pass (``observe``, S3/J9), columns are prefixed
-with the class name (P5), types optionally narrowed (M2), and the table is
-written under ``features/`` or, in debug mode, the first ``debug_rows`` rows
-by ``row_id`` under ``features_debug/`` (S4, L2, S6, S7).
+"""Feature jobs (M1): compute one feature, check it while it is written, publish it.
+
+``build_feature`` computes the feature on all rows, prefixes its columns with the class name (P5) and
+writes the table under ``features/`` or, in debug mode, the first ``debug_rows`` rows by ``row_id`` under
+``features_debug/`` (S4, L2, S6, S7). The pass that writes also checks: one row for each question row
+of the log, no ``row_id`` twice (S3, J9). A table that fails is not published; the one before it stays.
+Ranges are taken in the same pass, and narrow types (M2) are applied when the table is read.
 ``load_matrix`` assembles stored tables by key (S8, M3, J7, J9).
 """
 
@@ -13,21 +12,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from histwise.operators import matrix as M
 from histwise.plans.context import FeatureContext
 from histwise.plans.features import REGISTRY, Feature, build_features
-from histwise.sources import sinks
+from histwise.sources import sinks, tables
 
 DEBUG_ROWS = 10_000
 
 
-class RowCountMismatch(AssertionError):
-    pass
-
-
 def prefixed(ctx: FeatureContext, feat: Feature | str) -> DataFrame:
     """``row_id`` + the feature's columns named ``{Class}_{column}``."""
     f = REGISTRY[feat] if isinstance(feat, str) else feat
@@ -35,26 +29,16 @@ def prefixed(ctx: FeatureContext, feat: Feature | str) -> DataFrame:
 
 
 def build_feature(ctx: FeatureContext, feat: Feature | str, root: str, debug: bool = False,
-                  narrow: bool = False, debug_rows: int = DEBUG_ROWS) -> str:
+                  debug_rows: int = DEBUG_ROWS) -> str:
+    """Publish one feature's table under ``root``; returns its path."""
     f = REGISTRY[feat] if isinstance(feat, str) else feat
-    df = prefixed(ctx, f)
-    if narrow:
-        df = M.narrow_types(df)
-    if debug:
-        df = M.debug_sample(df, debug_rows)
-    obs = Observation(f"rows_{f.name}")
-    df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    path = sinks.write_feature(df, root, f.name, debug=debug)
-    expected = ctx.base().count()
+    df, expected = prefixed(ctx, f), ctx.keys()
     if debug:
-        expected = min(expected, debug_rows)
-    got = obs.get["rows"]
-    if got != expected:
-        raise RowCountMismatch(f"{f.name}: {got} rows written, {expected} question rows")
-    return path
+        df, expected = M.debug_sample(df, debug_rows), tables.Keys(min(expected.rows, debug_rows))
+    return sinks.write_feature(df, root, f.name, debug=debug, expected=expected)
 
 
 def load_matrix(spark: SparkSession, root: str, names: Sequence[str], debug: bool = False,
-                check: bool = True) -> DataFrame:
-    """Stored feature tables joined side by side on ``row_id`` with a 1:1 check."""
-    return M.assemble(sinks.load_features(spark, root, names, debug=debug), "row_id", check)
+                narrow: bool = True, to_float32: bool = False) -> DataFrame:
+    """Stored feature tables side by side, by merge joins without an exchange."""
+    return tables.assemble(spark, [sinks.feature_path(root, n, debug=debug) for n in names], narrow, to_float32)

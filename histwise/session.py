@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -56,6 +57,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def work_path(spark: SparkSession, name: str) -> str:
+    """A new folder for what a run keeps while it works, in the shared checkpoint folder. Its user may delete
+    it once the results are read."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/histwise/{name}-{uuid.uuid4().hex}"
+
+
 # Partition sizing for cluster runs: every scan split and shuffle partition should hold
 # about TARGET_PARTITION_BYTES so it fits in one task's memory share without heavy spill.
 TARGET_PARTITION_BYTES = 256 * 1024 * 1024

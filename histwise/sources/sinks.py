@@ -8,12 +8,12 @@ Everything is written with Spark writers straight to the target URI
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
-
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from histwise.sources import tables
+
 
 def feature_root(root: str, debug: bool = False) -> str:
     return f"{root.rstrip('/')}/{'features_debug' if debug else 'features'}"
@@ -23,22 +23,22 @@ def feature_path(root: str, name: str, data_type: str = "training", debug: bool
     return f"{feature_root(root, debug)}/{name}_{data_type}"
 
 
-def write_feature(df: DataFrame, root: str, name: str, data_type: str = "training",
-                  debug: bool = False) -> str:
-    """Store one feature table (key ``row_id`` + prefixed columns) as parquet."""
+def write_feature(df: DataFrame, root: str, name: str, data_type: str = "training", debug: bool = False,
+                  expected: tables.Keys | None = None) -> str:
+    """Publish one feature table (key ``row_id`` + prefixed columns), once it is found whole."""
     path = feature_path(root, name, data_type, debug)
-    df.write.mode("overwrite").parquet(path)
+    tables.publish(df, path, expected=expected)
     return path
 
 
 def read_feature(spark: SparkSession, root: str, name: str, data_type: str = "training",
-                 debug: bool = False) -> DataFrame:
-    """Load a stored feature table."""
-    return spark.read.parquet(feature_path(root, name, data_type, debug))
+                 debug: bool = False, narrow: bool = True) -> DataFrame:
+    """Load a stored feature table (S8, S9), by default with the types its ranges allow (M2)."""
+    return tables.read(spark, feature_path(root, name, data_type, debug), narrow)
 
 
-def load_features(spark: SparkSession, root: str, names: Sequence[str],
-                  data_type: str = "training", debug: bool = False) -> list[DataFrame]:
+def load_features(spark: SparkSession, root: str, names: Sequence[str], data_type: str = "training",
+                  debug: bool = False) -> list[DataFrame]:
     return [read_feature(spark, root, n, data_type, debug) for n in names]
 
 

@@ -22,7 +22,7 @@ def ctx(spark):
 def test_feature_jobs_then_assembled_matrix(spark, ctx):
     root = tempfile.mkdtemp(prefix="hw-feat-")
     for n in NAMES:
-        jobs.build_feature(ctx, n, root, narrow=True)
+        jobs.build_feature(ctx, n, root)
     m = jobs.load_matrix(spark, root, NAMES)
     fused = feature_matrix(ctx, NAMES[2:])
     assert m.count() == fused.count() == ctx.base().count()
@@ -33,6 +33,27 @@ def test_feature_jobs_then_assembled_matrix(spark, ctx):
     assert dict(m.dtypes)["Fold_val"] == "tinyint"
 
 
+def test_a_log_with_a_row_twice_publishes_nothing(spark, ctx):
+    from dataclasses import replace
+    from histwise.sources import tables
+    root = tempfile.mkdtemp(prefix="hw-twice-")
+    path = jobs.build_feature(ctx, "Target", root)
+    inputs = load_inputs(spark, SF001)
+    one = inputs.question_rows().orderBy("row_id").limit(1)
+    twice = FeatureContext(replace(inputs, train=inputs.train.unionByName(one), _cache={}))
+    with pytest.raises(tables.TableCheckError, match="2 times"):
+        jobs.build_feature(twice, "Target", root)
+    assert tables.info(spark, path).rows == ctx.base().count()
+
+
+def test_stored_matrix_plan_has_no_exchange(spark, ctx):
+    root = tempfile.mkdtemp(prefix="hw-plan-")
+    for n in NAMES:
+        jobs.build_feature(ctx, n, root)
+    plan = jobs.load_matrix(spark, root, NAMES)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("SortMergeJoin") == len(NAMES) - 1, plan
+
+
 def test_debug_job_writes_first_rows(spark, ctx):
     root = tempfile.mkdtemp(prefix="hw-dbg-")
     jobs.build_feature(ctx, "Target", root, debug=True, debug_rows=100)
