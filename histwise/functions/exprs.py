@@ -27,10 +27,6 @@ def flag(cond: Column) -> Column:
     return F.when(cond, F.lit(1)).otherwise(F.lit(0))
 
 
-def sum_or_null(c: Column) -> Column:
-    return F.sum(c)
-
-
 def odds_weight(acc: Column, cap: float = ZERO_ACCURACY_WEIGHT) -> Column:
     """Odds of failure ``(1 - acc) / acc``; ``cap`` when ``acc`` is 0; NULL stays NULL."""
     return F.when(acc == 0, F.lit(cap)).otherwise((F.lit(1.0) - acc) / acc)

@@ -21,9 +21,8 @@ This module splits such groups without changing any result:
      each row is copied once per distance ``d`` it must feed, so hash
      partitioning on ``(key, position)`` spreads a hot key over all tasks.
 
-Sliding sums become differences of prefix sums; floating values are summed
-as ``decimal(34,16)`` so the difference is exact for the stored digits
-(results can differ from a frame-by-frame double sum in the last bits).
+Sliding sums become differences of prefix sums of whole numbers; floating values come
+as digits that are whole numbers (``windows.exact_spec``), so sums of blocks add up without loss.
 Empty frames and frames of only NULLs stay NULL, as in SQL.
 """
 
@@ -39,8 +38,6 @@ from pyspark.sql import types as T
 from histwise.operators.windows import ORDER, Spec
 from histwise.session import ensure_checkpoint_dir
 
-EXACT_DECIMAL = T.DecimalType(34, 16)   # same as windows.EXACT_DECIMAL (see there)
-
 
 @dataclass(frozen=True)
 class SkewPolicy:
@@ -112,54 +109,43 @@ def _on(key: Sequence[str], left: DataFrame, right: DataFrame, extra=()) -> Colu
     return cond
 
 
-def _exact(v: Column, dtype: T.DataType) -> Column:
-    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)):
-        return F.coalesce(v.cast("long"), F.lit(0).cast("long"))
-    return F.coalesce(v.cast(EXACT_DECIMAL), F.lit(0).cast(EXACT_DECIMAL))
-
-
 def evaluate_blocked(frame: DataFrame, spec: Spec, order: Sequence[str] = ORDER) -> DataFrame:
     """All columns of ``spec`` for rows that carry ``_blk`` (see module doc)."""
     key = list(spec.key)
     lw = Window.partitionBy(*key, "_blk").orderBy(*order)
     incl = lw.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
-    # 1. summed values: exact running sums and non-null counts within the block
+    # 1. summed values (whole numbers): running sums and non-null counts within the block
     values = {**{n: v for n, v in spec.sums_before.items()},
               **{n: v for n, (v, _) in spec.slides.items()}}
-    probe = frame.select(*[v.alias(n) for n, v in values.items()]) if values else None
-    types = {f.name: f.dataType for f in probe.schema.fields} if probe is not None else {}
     src = {}
     for i, (n, v) in enumerate(values.items()):
-        src[f"_sv{i}"] = _exact(v, types[n])
+        src[f"_sv{i}"] = F.coalesce(v.cast("long"), F.lit(0).cast("long"))
         src[f"_cv{i}"] = v.isNotNull().cast("long")
     local = frame.withColumns(src) if src else frame
-    # sums are cast back to the value's exact type (see windows.EXACT_DECIMAL)
-    st = {i: local.schema[f"_sv{i}"].dataType for i in range(len(values))}
     loc = {"_lr": F.row_number().over(lw).cast("long")}
     for i in range(len(values)):
-        loc[f"_ls{i}"] = F.sum(f"_sv{i}").over(incl).cast(st[i])
+        loc[f"_ls{i}"] = F.sum(f"_sv{i}").over(incl)
         loc[f"_lc{i}"] = F.sum(f"_cv{i}").over(incl)
     local = local.withColumns(loc)
 
     # 2. block totals -> offsets (one row per key and block)
     tot = local.groupBy(*key, "_blk").agg(
         F.count(F.lit(1)).alias("_tn"),
-        *[F.sum(f"_sv{i}").cast(st[i]).alias(f"_ts{i}") for i in range(len(values))],
+        *[F.sum(f"_sv{i}").alias(f"_ts{i}") for i in range(len(values))],
         *[F.sum(f"_cv{i}").alias(f"_tc{i}") for i in range(len(values))])
     ow = Window.partitionBy(*key).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     zero_l = F.lit(0).cast("long")
     offs = tot.select(
         *[F.col(k).alias(f"_r_{k}") for k in key], F.col("_blk").alias("_r_blk"),
         F.coalesce(F.sum("_tn").over(ow), zero_l).alias("_on"),
-        *[F.sum(f"_ts{i}").over(ow).cast(st[i]).alias(f"_os{i}") for i in range(len(values))],
+        *[F.sum(f"_ts{i}").over(ow).alias(f"_os{i}") for i in range(len(values))],
         *[F.coalesce(F.sum(f"_tc{i}").over(ow), zero_l).alias(f"_oc{i}") for i in range(len(values))])
     j = local.join(offs, _on(key, local, offs, [("_blk", "_r_blk")]), "left")
     pos = {"_pos": F.col("_on") + F.col("_lr")}
     for i in range(len(values)):
-        zero = F.lit(0).cast(st[i])
-        inc = F.coalesce(F.col(f"_os{i}"), zero) + F.col(f"_ls{i}")
-        pos[f"_pb{i}"] = (inc - F.col(f"_sv{i}")).cast(st[i])       # prefix sum before the row
+        inc = F.coalesce(F.col(f"_os{i}"), zero_l) + F.col(f"_ls{i}")
+        pos[f"_pb{i}"] = inc - F.col(f"_sv{i}")       # prefix sum before the row
         pos[f"_cb{i}"] = F.col(f"_oc{i}") + F.col(f"_lc{i}") - F.col(f"_cv{i}")
     j = j.withColumns(pos).drop(*[c for c in offs.columns], "_lr",
                                 *[f"_ls{i}" for i in range(len(values))],
@@ -205,7 +191,7 @@ def evaluate_blocked(frame: DataFrame, spec: Spec, order: Sequence[str] = ORDER)
         res[n] = pos_c
     for n, v in spec.sums_before.items():
         i = index[n]
-        res[n] = F.when(F.col(f"_cb{i}") > 0, F.col(f"_pb{i}")).cast(types[n])
+        res[n] = F.when(F.col(f"_cb{i}") > 0, F.col(f"_pb{i}"))
     for n, width in spec.slide_counts.items():
         res[n] = F.when(pos_c > 1, F.least(pos_c - 1, F.lit(width).cast("long")))
     for n, (c, d) in spec.lags.items():
@@ -215,7 +201,7 @@ def evaluate_blocked(frame: DataFrame, spec: Spec, order: Sequence[str] = ORDER)
         early = pos_c <= width
         s = F.when(early, F.col(f"_pb{i}")).otherwise(F.col(f"_pb{i}") - F.col(f"_x_pb{i}__{width}"))
         cnt = F.when(early, F.col(f"_cb{i}")).otherwise(F.col(f"_cb{i}") - F.col(f"_x_cb{i}__{width}"))
-        res[n] = F.when(cnt > 0, s).cast(types[n])
+        res[n] = F.when(cnt > 0, s)
     out = out.withColumns(res)
     helpers = [c for c in out.columns if c.startswith(("_r_", "_x_", "_sv", "_cv", "_pb", "_cb"))
                or c in ("_pos", "_target")]

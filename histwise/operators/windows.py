@@ -2,8 +2,7 @@
 
 All windows order rows by ``(timestamp, row_id)``: the reference orders by
 ``timestamp`` alone, which leaves ROWS frames, LAG and ROW_NUMBER ambiguous
-on ties; the unique ``row_id`` makes them deterministic. RANGE frames
-(``seen_flag``) order by time alone so rows of one timestamp are peers.
+on ties; the unique ``row_id`` makes them deterministic.
 
 Frames that end at ``1 PRECEDING`` are the leak guard: a row never sees its
 own outcome. An empty frame gives NULL (``SUM``), not 0.
@@ -15,6 +14,7 @@ start with ``user_id`` so one hash exchange on ``user_id`` serves them all.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, Window, WindowSpec
@@ -43,41 +43,13 @@ def running_count(by, order: Sequence[str] = ORDER, include_current: bool = Fals
     return running_sum(F.lit(1).cast("long"), by, order, include_current)
 
 
-def sliding_sum(value: Column, by, width: int, order: Sequence[str] = ORDER) -> Column:
-    """Sum over the ``width`` rows before the current one."""
-    if width < 1:
-        raise ValueError("width must be >= 1")
-    return F.sum(value).over(ordered(by, order).rowsBetween(-width, -1))
-
-
-def sliding_count(by, width: int, order: Sequence[str] = ORDER) -> Column:
-    return sliding_sum(F.lit(1).cast("long"), by, width, order)
-
-
-def occurrence_no(by, order: Sequence[str] = ORDER) -> Column:
-    """1-based attempt number within the group."""
-    return F.row_number().over(ordered(by, order))
-
-
 def lag_of(value: Column | str, by, n: int = 1, order: Sequence[str] = ORDER) -> Column:
     """Value ``n`` rows back in the group."""
     return F.lag(value, n).over(ordered(by, order))
 
 
-def lag_many(value: Column | str, by, n: int, order: Sequence[str] = ORDER) -> list[Column]:
-    """``[lag 1, ..., lag n]``."""
-    return [lag_of(value, by, i, order) for i in range(1, n + 1)]
-
-
-def seen_flag(flag: Column, by, time: str = "timestamp") -> Column:
-    """Running MAX of a 0/1 flag up to and including the current time (RANGE, peers in)."""
-    spec = (Window.partitionBy(*_cols(by)).orderBy(time)
-            .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    return F.max(flag).over(spec)
-
-
 # --- declared window needs ------------------------------------------------------------------
-from dataclasses import dataclass, field  # noqa: E402
+from dataclasses import dataclass, field, replace  # noqa: E402
 
 
 @dataclass
@@ -90,6 +62,8 @@ class Spec:
     ``lags``          value ``d`` rows back: name -> (column, d)
     ``slides``        SUM(value) over the ``width`` rows before: name -> (value, width)
     ``slide_counts``  SUM(1) over the ``width`` rows before: name -> width
+    ``weighted``      the sums above whose values are item weights, or 0 in their place
+    ``never_null``    the sums above whose values are never NULL
     """
 
     key: tuple[str, ...]
@@ -99,6 +73,8 @@ class Spec:
     lags: dict = field(default_factory=dict)
     slides: dict = field(default_factory=dict)
     slide_counts: dict = field(default_factory=dict)
+    weighted: frozenset = frozenset()
+    never_null: frozenset = frozenset()
 
     def merge(self, other: "Spec") -> "Spec":
         if other.key != self.key:
@@ -109,7 +85,8 @@ class Spec:
                     {**self.sums_before, **other.sums_before},
                     {**self.lags, **other.lags},
                     {**self.slides, **other.slides},
-                    {**self.slide_counts, **other.slide_counts})
+                    {**self.slide_counts, **other.slide_counts}, self.weighted | other.weighted,
+                    self.never_null | other.never_null)
 
     def outputs(self) -> list[str]:
         return (list(self.count_before) + list(self.count_incl) + list(self.sums_before)
@@ -124,25 +101,102 @@ def merge_specs(specs) -> list[Spec]:
     return list(out.values())
 
 
-# Exact sums of floating values: 18 integer and 16 fractional digits. Every sum is cast
-# back to this type, so a chain of three additions stays within precision 38 and Spark
-# never drops fractional digits; plain and blocked paths then give the same decimals.
-EXACT_DECIMAL = "decimal(34,16)"
 INTEGRAL = ("tinyint", "smallint", "int", "bigint", "boolean")
-
-
-def exact_type(frame, value: Column) -> tuple[str, str]:
-    """(value type, exact summing type): long for integers, ``EXACT_DECIMAL`` otherwise."""
-    t = frame.select(value.alias("_v")).schema["_v"].dataType.simpleString()
-    return t, ("bigint" if t in INTEGRAL else EXACT_DECIMAL)
+FLOATING = ("float", "double")
+
+# Exact sums of floating values. A value is cut into whole multiples of 2**e for falling exponents e, DIGIT_BITS
+# apart, down to its own last bit; each digit is a long of at most that many bits, so 2**33 of them add up
+# without loss, and the sums of different blocks, frames or paths are the same whole numbers.
+DIGIT_BITS = 30
+MANTISSA_BITS = 53
+# Exponents of the largest and of the smallest normal double.
+MAX_EXPONENT, MIN_EXPONENT = 1023, -1022
+
+
+def digit_exponents(smallest: float | None, largest: float | None) -> list[int]:
+    """The exponents e for values whose magnitude is 0 or between ``smallest`` and ``largest``, falling."""
+    if not largest:
+        return []
+    top = math.frexp(largest)[1]
+    low = max(math.frexp(smallest)[1] - MANTISSA_BITS, MIN_EXPONENT)
+    count = max(1, -(-(top - low) // DIGIT_BITS))
+    return [low + DIGIT_BITS * k for k in reversed(range(count))]
+
+
+def digits(value: Column, exponents: Sequence[int]) -> list[Column]:
+    """The digits of ``value``, each a long; 0 where it is NULL. A digit is what cutting off at its exponent leaves
+    beyond cutting off at the one before; cutting off and subtracting are without rounding."""
+    v = F.coalesce(value.cast("double"), F.lit(0.0))
+    out, above = [], None
+    for e in exponents:
+        cut = (v * F.lit(2.0 ** -e)).cast("long").cast("double") * F.lit(2.0 ** e)
+        if e + MANTISSA_BITS <= MAX_EXPONENT:       # a value that large has no bits below
+            cut = F.when(F.abs(v) >= F.lit(2.0 ** (e + MANTISSA_BITS)), v).otherwise(cut)
+        out.append(((cut if above is None else cut - above) * F.lit(2.0 ** -e)).cast("long"))
+        above = cut
+    return out
+
+
+def from_digits(sums: Sequence[Column], exponents: Sequence[int]) -> Column:
+    """The value of digit sums, smallest first, so that little is rounded and the largest last."""
+    total = F.lit(0.0)
+    for s, e in zip(reversed(sums), reversed(list(exponents))):
+        total = total + s.cast("double") * F.lit(2.0 ** e)
+    return total
+
+
+def value_bounds(frame, values: Sequence[Column]) -> list[tuple[float | None, float | None]]:
+    """Smallest non-zero and largest magnitude of each value, in one pass over ``frame``."""
+    size = [F.abs(v.cast("double")) for v in values]
+    row = frame.agg(*[x for i, m in enumerate(size) for x in (F.min(F.when(m > 0, m)).alias(f"s{i}"), F.max(m).alias(f"l{i}"))]).first()
+    return [(row[f"s{i}"], row[f"l{i}"]) for i in range(len(size))]
+
+
+def exact_spec(frame, spec: "Spec", bounds: dict | None = None):
+    """``spec`` with every floating sum as sums of digits: (frame with the digits, spec of whole numbers, finish),
+    where ``finish`` puts the floating columns together. ``bounds``: value column -> (smallest, largest)
+    magnitude where the caller knows them; other values are looked at in one pass over ``frame``."""
+    wanted = [("sums_before", n, v, None) for n, v in spec.sums_before.items()] + [("slides", n, v, w) for n, (v, w) in spec.slides.items()]
+    if not wanted:
+        return frame, spec, lambda f: f
+    types = frame.select(*[v.alias(f"_v{i}") for i, (_, _, v, _) in enumerate(wanted)]).schema
+    floating = [x for x, t in zip(wanted, types) if t.dataType.simpleString() in FLOATING]
+    if not floating:
+        return frame, spec, lambda f: f
+    known = {n: (bounds or {}).get(n) for _, n, _, _ in floating}
+    unknown = [(n, v) for _, n, v, _ in floating if known[n] is None]
+    if unknown:
+        known.update(zip([n for n, _ in unknown], value_bounds(frame, [v for _, v in unknown])))
+    sums = {n: v for n, v in spec.sums_before.items()}
+    slides = {n: v for n, v in spec.slides.items()}
+    added, made = {}, {}
+    for kind, n, v, width in floating:
+        exponents = digit_exponents(*known[n]) or [0]
+        names = [f"_digit_{n}_{k}" for k in range(len(exponents))] + [f"_digit_{n}_values"]
+        added.update(zip(names, [*digits(v, exponents), v.isNotNull().cast("long")]))
+        if kind == "slides":
+            del slides[n]
+            slides.update({f"{d}_sum": (F.col(d), width) for d in names})
+        else:
+            del sums[n]
+            sums.update({f"{d}_sum": F.col(d) for d in names})
+        there = F.col(f"{names[-1]}_sum") > 0
+        made[n] = (F.when(there, from_digits([F.col(f"{d}_sum") for d in names[:-1]], exponents)), [f"{d}_sum" for d in names])
+
+    def finish(f):
+        gone = list(added) + [c for _, cols in made.values() for c in cols]
+        return f.withColumns({n: c for n, (c, _) in made.items()}).drop(*gone)
+
+    whole = replace(spec, sums_before=sums, slides=slides, never_null=frozenset(f"{d}_sum" for d in added))
+    return frame.withColumns(added), whole, finish
 
 
 def evaluate(frame, spec: Spec, order: Sequence[str] = ORDER):
     """Plain window evaluation, all keyed by ``spec.key`` (one exchange, one sort per key).
 
-    Sliding sums are differences of exact prefix sums (``long``, or ``EXACT_DECIMAL`` for
-    floating values) read through a ``lag``: O(1) work per row instead of re-summing a
-    ``width``-row frame for every row. Frames holding only NULLs stay NULL.
+    Sums are of whole numbers (``exact_spec`` makes them so for floating values). Sliding sums are
+    differences of prefix sums read through a ``lag``: O(1) work per row instead of re-summing
+    a ``width``-row frame for every row. Frames holding only NULLs stay NULL.
     """
     by = list(spec.key)
     if spec.slides:
@@ -150,12 +204,14 @@ def evaluate(frame, spec: Spec, order: Sequence[str] = ORDER):
         before = w.rowsBetween(Window.unboundedPreceding, -1)
         prefix, outs = {}, {}
         for i, (n, (v, width)) in enumerate(spec.slides.items()):
-            vt, et = exact_type(frame, v)
-            prefix[f"_spb{i}"] = F.sum(F.coalesce(v.cast(et), F.lit(0).cast(et))).over(before).cast(et)
+            prefix[f"_spb{i}"] = F.sum(F.coalesce(v.cast("long"), F.lit(0).cast("long"))).over(before)
+            s = F.col(f"_spb{i}") - F.coalesce(F.lag(f"_spb{i}", width).over(w), F.lit(0).cast("long"))
+            if n in spec.never_null:
+                outs[n] = s
+                continue
             prefix[f"_scb{i}"] = F.sum(v.isNotNull().cast("long")).over(before)
-            s = F.col(f"_spb{i}") - F.coalesce(F.lag(f"_spb{i}", width).over(w), F.lit(0).cast(et))
             c = F.col(f"_scb{i}") - F.coalesce(F.lag(f"_scb{i}", width).over(w), F.lit(0).cast("long"))
-            outs[n] = F.when(c > 0, s).cast(vt)
+            outs[n] = F.when(c > 0, s)
         frame = frame.withColumns(prefix).withColumns(outs).drop(*prefix)
     cols = {}
     for n in spec.count_before:

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from histwise.plans import oracle
 from histwise.plans.context import FeatureContext
 from histwise.plans.features import REGISTRY, build_features, feature_frame, variant
+from histwise.session import work_path
+from histwise.sources import tables
 from histwise.sources.testdata import load_inputs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,14 +109,14 @@ def feature_matrix_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 from histwise.operators import drift, matrix as M, metrics  # noqa: E402
 from histwise.operators import windows as W  # noqa: E402
 from histwise.operators.model import mean_importances, predict_mean, top_k  # noqa: E402
-from histwise.plans import training  # noqa: E402
+from histwise.plans import jobs, training  # noqa: E402
 from histwise.plans.matrix import FOLD, LABEL, feature_matrix, matrix_columns  # noqa: E402
 
 WEIGHTED = ("UserCumulativeUserInteractionsByPartWeightedWindowSize100",
             "UserCumulativeUserInteractionsWeightedWindowSize100")
 ROUNDED = ([f"{n}_{c}" for n in WEIGHTED for c in HIST]
            + ["UserLastSolvedProblemSimilarity_similarity"])
-ALL_PARTS = [name for name, _, _ in oracle.MATRIX_PARTS]
+ALL_PARTS = [name for name, _ in oracle.MATRIX_PARTS]
 
 
 def matrix_cols() -> list[str]:
@@ -255,4 +257,27 @@ def q_drift_check(spark, sf_dir):
 
 @register("narrow_types")
 def q_narrow_types(spark, sf_dir):
-    return M.narrow_types(feature_matrix(context(spark, sf_dir)))
+    """The matrix with narrow types: written once, its ranges taken in that pass, the types applied at read."""
+    ctx, path = context(spark, sf_dir), f"{work_path(spark, 'narrow')}/matrix"
+    tables.publish(feature_matrix(ctx), path, expected=ctx.keys())
+    return tables.read(spark, path)
+
+
+@register("narrow_columns", lambda: oracle.narrow_columns(_oracle_matrix(), matrix_cols()))
+def q_narrow_columns(spark, sf_dir):
+    """Column, its narrow type, and its type where fractions may go to 4 bytes."""
+    ctx, path = context(spark, sf_dir), f"{work_path(spark, 'narrow')}/matrix"
+    m = feature_matrix(ctx)
+    about = tables.publish(m, path, expected=ctx.keys())
+    plain, short = about.types(), about.types(to_float32=True)
+    rows = [(c, plain.get(c, t), short.get(c, t)) for c, t in m.dtypes if c in matrix_cols()]
+    return spark.createDataFrame(rows, "column_name string, narrow_type string, narrow_type_float32 string")
+
+
+@register("assembled_matrix", _oracle_matrix)
+def q_assembled_matrix(spark, sf_dir):
+    """Every feature by its own job, published, and the stored tables joined side by side."""
+    ctx, root = context(spark, sf_dir), work_path(spark, "features")
+    for name in ALL_PARTS:
+        jobs.build_feature(ctx, name, root)
+    return _rounded(jobs.load_matrix(spark, root, ALL_PARTS, narrow=False), ROUNDED)

@@ -74,7 +74,14 @@ class FeatureContext:
         return self._once("hot", build)
 
     def windows(self, rows: DataFrame, specs, lectures: bool = False) -> DataFrame:
-        return E.compute_windows(rows, specs, self.marks() if lectures else None, self.hot())
+        # weights, alone or times an outcome of 0 or 1, have the bounds of the items' weights
+        weighted = {n for s in specs for n in s.weighted}
+        bounds = dict.fromkeys(weighted, self.weight_bounds()) if weighted else None
+        return E.compute_windows(rows, specs, self.marks() if lectures else None, self.hot(), bounds)
+
+    def weight_bounds(self) -> tuple[float | None, float | None]:
+        """Smallest non-zero and largest weight of an item, from the small table of items."""
+        return self._once("weight_bounds", lambda: W.value_bounds(self.items(), [F.col("weight")])[0])
 
     # -- item aggregates (one row per item) -------------------------------------
     def items(self) -> DataFrame:

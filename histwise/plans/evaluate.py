@@ -67,15 +67,16 @@ def _seen_plain(rows: DataFrame, marks: DataFrame) -> DataFrame:
     return both.where(F.col("_is_q")).drop("_is_q", *[f"_lf_{n}" for n in LECTURE_FLAGS])
 
 
-def plain_path(rows: DataFrame, marks: DataFrame | None, specs: Sequence[W.Spec]) -> DataFrame:
+def plain_path(rows: DataFrame, marks: DataFrame | None, specs: Sequence[W.Spec], bounds: dict | None = None) -> DataFrame:
     f = _seen_plain(rows, marks) if marks is not None else rows
     for spec in specs:
-        f = W.evaluate(f, spec)
+        f, whole, finish = W.exact_spec(f, spec, bounds)
+        f = finish(W.evaluate(f, whole))
     return f
 
 
 def blocked_path(rows: DataFrame, marks: DataFrame | None, specs: Sequence[W.Spec],
-                 n_blocks: int) -> DataFrame:
+                 n_blocks: int, bounds: dict | None = None) -> DataFrame:
     s = rows.withColumn("_is_q", F.lit(True))
     if marks is not None:
         s = s.unionByName(marks.withColumn("_is_q", F.lit(False)), allowMissingColumns=True)
@@ -87,7 +88,8 @@ def blocked_path(rows: DataFrame, marks: DataFrame | None, specs: Sequence[W.Spe
         b = skew.freeze(b)
     b = b.drop("_is_q")
     for i, spec in enumerate(specs):
-        b = skew.evaluate_blocked(b, spec)
+        b, whole, finish = W.exact_spec(b, spec, bounds)
+        b = finish(skew.evaluate_blocked(b, whole))
         # Each step reads its input twice (block totals and the rows); freezing the hot
         # rows between steps keeps every step's plan a fixed size instead of doubling.
         if i < len(specs) - 1:
@@ -95,17 +97,28 @@ def blocked_path(rows: DataFrame, marks: DataFrame | None, specs: Sequence[W.Spe
     return b.drop("_blk")
 
 
+def _is_floating(rows: DataFrame, value) -> bool:
+    return rows.select(value.alias("v")).dtypes[0][1] in W.FLOATING
+
+
 def compute_windows(rows: DataFrame, specs: Sequence[W.Spec], marks: DataFrame | None = None,
-                    hot: skew.HotSplit | None = None) -> DataFrame:
+                    hot: skew.HotSplit | None = None, bounds: dict | None = None) -> DataFrame:
     """Add all window columns of ``specs`` (and lecture flags if ``marks``) to ``rows``.
 
-    ``hot`` (from :func:`skew.hot_keys`) routes the rows of hot users to the blocked path.
+    ``hot`` (from :func:`skew.hot_keys`) routes the rows of hot users to the blocked path. ``bounds``: smallest
+    and largest magnitude of floating values that are summed, by output; others are looked up once, here,
+    so that both paths cut them into the same digits.
     """
     specs = _ordered_specs(specs)
+    bounds = dict(bounds or {})
     if hot is None:
-        return plain_path(rows, marks, specs)
+        return plain_path(rows, marks, specs, bounds)
+    for s in specs:
+        missing = {n: v for n, v in {**s.sums_before, **{n: v for n, (v, _) in s.slides.items()}}.items() if n not in bounds}
+        floating = [n for n in missing if _is_floating(rows, missing[n])]
+        bounds.update(zip(floating, W.value_bounds(rows, [missing[n] for n in floating]) if floating else []))
     cold_rows, hot_rows = skew.split(rows, hot.keys, USER)
     cold_marks, hot_marks = (skew.split(marks, hot.keys, USER) if marks is not None
                              else (None, None))
-    cold = plain_path(cold_rows, cold_marks, specs)
-    return cold.unionByName(blocked_path(hot_rows, hot_marks, specs, hot.n_blocks))
+    cold = plain_path(cold_rows, cold_marks, specs, bounds)
+    return cold.unionByName(blocked_path(hot_rows, hot_marks, specs, hot.n_blocks, bounds))

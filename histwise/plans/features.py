@@ -149,8 +149,8 @@ def user_sliding(ctx, frame, name, by, width):
 def _weighted_specs(by, width):
     t = _tag(by)
     w = F.col("_i_weight")
-    return [Spec(tuple(by), slides={f"_{t}_w_w{width}": (w, width),
-                                    f"_{t}_wac_w{width}": (_ac() * w, width)})]
+    names = f"_{t}_w_w{width}", f"_{t}_wac_w{width}"
+    return [Spec(tuple(by), slides={names[0]: (w, width), names[1]: (_ac() * w, width)}, weighted=frozenset(names))]
 
 
 @feature("UserCumulativeUserInteractionsWeightedWindowSize100", HISTORY, specs=_weighted_specs,

@@ -255,23 +255,23 @@ FROM pairs LEFT JOIN share USING (from_outcome, from_item, content_id)""")
 # --- composite queries -------------------------------------------------------------------
 # (feature class, oracle builder, columns rounded to 6 digits on both sides)
 MATRIX_PARTS = [
-    ("Fold", fold, False), ("Target", target, False),
-    ("LabelEncoding", label_encoding, False), ("NumericFeatures", numeric_features, False),
-    ("UserCumulativeUserInteractions", user_cumulative, False),
-    ("ContentAverageCorrectedAnswers", content_first_attempt_accuracy, False),
-    ("ContentNumberOfAnswers", content_number_of_answers, False),
-    ("ContentNumberOfAnswersAfterSecondTime", content_number_after_second, False),
-    ("UserCumulativeUserInteractionsByPart", user_cumulative_by_part, False),
-    ("UserLastSolvedProblem", user_last_solved, False),
-    ("UserLecturedAtLeastOnce", user_lectured_at_least_once, False),
-    ("UserAnsweredInThePast", user_answered_in_past, False),
-    ("UserLastSolvedProblemSimilarity", similarity, False),
-    ("UserCumulativeUserInteractionsByPartWindowSize100", lambda: user_by_part_window(100), False),
+    ("Fold", fold), ("Target", target),
+    ("LabelEncoding", label_encoding), ("NumericFeatures", numeric_features),
+    ("UserCumulativeUserInteractions", user_cumulative),
+    ("ContentAverageCorrectedAnswers", content_first_attempt_accuracy),
+    ("ContentNumberOfAnswers", content_number_of_answers),
+    ("ContentNumberOfAnswersAfterSecondTime", content_number_after_second),
+    ("UserCumulativeUserInteractionsByPart", user_cumulative_by_part),
+    ("UserLastSolvedProblem", user_last_solved),
+    ("UserLecturedAtLeastOnce", user_lectured_at_least_once),
+    ("UserAnsweredInThePast", user_answered_in_past),
+    ("UserLastSolvedProblemSimilarity", similarity),
+    ("UserCumulativeUserInteractionsByPartWindowSize100", lambda: user_by_part_window(100)),
     ("UserCumulativeUserInteractionsByPartWeightedWindowSize100",
-     lambda: user_weighted_window(100, True), False),
+     lambda: user_weighted_window(100, True)),
     ("UserCumulativeUserInteractionsWeightedWindowSize100",
-     lambda: user_weighted_window(100, False), False),
-    ("ContentAverageCorrectedAnswersPosterior", lambda: content_posterior(100), False),
+     lambda: user_weighted_window(100, False)),
+    ("ContentAverageCorrectedAnswersPosterior", lambda: content_posterior(100)),
 ]
 
 
@@ -282,7 +282,7 @@ def _strip(sql: str) -> str:
 def feature_matrix(columns: dict[str, list[str]]) -> str:
     """Join of all feature statements on row_id, columns prefixed ``{Class}_``."""
     parts, sel = [], ["m0.row_id"]
-    for i, (name, build, _) in enumerate(MATRIX_PARTS):
+    for i, (name, build) in enumerate(MATRIX_PARTS):
         alias = f"m{i}"
         parts.append(f"({_strip(build())}) AS {alias}" if i == 0 else
                      f"JOIN ({_strip(build())}) AS {alias} ON m0.row_id = {alias}.row_id")
@@ -304,6 +304,19 @@ def column_ranges(matrix_sql: str, cols: list[str]) -> str:
     return f"SELECT {aggs} FROM ({matrix_sql}) AS m"
 
 
+def narrow_columns(matrix_sql: str, cols: list[str]) -> str:
+    """The smallest type that holds a column's range with strict bounds; without values the type stays."""
+    one = """SELECT '{c}' AS column_name, any_value(typeof("{c}")) AS t, MIN("{c}")::DOUBLE AS lo, MAX("{c}")::DOUBLE AS hi FROM m"""
+    each = " UNION ALL ".join(one.format(c=c) for c in cols)
+    own = "CASE t WHEN 'INTEGER' THEN 'int' WHEN 'BIGINT' THEN 'bigint' ELSE 'double' END"
+    whole = " ".join(f"WHEN lo > -{2 ** b} AND hi < {2 ** b - 1} THEN '{n}'" for n, b in (("tinyint", 7), ("smallint", 15), ("int", 31), ("bigint", 63)))
+    return f"""
+WITH m AS ({matrix_sql}), r AS ({each})
+SELECT column_name, CASE WHEN t = 'DOUBLE' OR lo IS NULL THEN {own} {whole} ELSE {own} END AS narrow_type,
+       CASE WHEN lo IS NULL THEN {own} WHEN t = 'DOUBLE' THEN 'float' {whole} ELSE {own} END AS narrow_type_float32
+FROM r"""
+
+
 def fold_balance() -> str:
     return _q(""", f AS (SELECT val, CAST(COUNT(*) AS BIGINT) AS n_rows,
   CAST(SUM(answered_correctly) AS BIGINT) AS positives FROM tq GROUP BY val) SELECT * FROM f""")

@@ -81,14 +81,6 @@ class DuplicateKeyError(ValueError):
     pass
 
 
-def assert_unique(df: DataFrame, key: str | list[str], what: str) -> None:
-    """Fail early when a join key of a side table is not unique."""
-    keys = [key] if isinstance(key, str) else list(key)
-    dup = df.groupBy(*keys).count().where(F.col("count") > 1).limit(1).collect()
-    if dup:
-        raise DuplicateKeyError(f"{what}: key {keys} is not unique, e.g. {dup[0].asDict()}")
-
-
 def checked_side(df: DataFrame, key: str, what: str, check: bool = True,
                  max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Side table with a unique key: one job gives its rows, bytes and the uniqueness
@@ -185,7 +177,3 @@ def with_val_flag(df: DataFrame, val_side: DataFrame, out: str = "val") -> DataF
     return (df.join(val_side, "row_id", "left")
               .withColumn(out, F.when(F.col("_in_val").isNotNull(), 1).otherwise(0))
               .drop("_in_val"))
-
-
-def col_or_lit(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
