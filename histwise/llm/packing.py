@@ -26,8 +26,6 @@ an empty result; further columns are not read.
 
 from __future__ import annotations
 
-import os
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,87 +33,87 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from histwise.llm.bpe import Bpe, slices
+from histwise.llm.bpe import PRETOKEN, Bpe, slices
 from histwise.llm.common import OWN, shared_path, stored, text_or_empty
 
 WINDOW = 2048
 SHARD_TOKENS = 1 << 19
 END_ID = 1
-#: Words that the library reads at once.
-RUN = 4096
 #: Terms of a document's sketch; shards that a task builds one after the other; seed of the draw.
 SKETCH, TASK_SHARDS, SEED = 4, 4, 71
 # Usual constants of BM25.
 K1, B = 1.2, 0.75
 
 
-class LibraryIds(Bpe):
-    """Ids by the tokenizers library, which is asked once for each word that is not remembered.
+class FastIds:
+    """Ids of whole texts, the same as the tokenizers library's, by tiktoken's merge loop.
 
-    Words go to the library as runs, a special token between each two: the library cuts a text
-    at special tokens before all else, so the ids of a word are those that it has alone."""
+    tiktoken merges the pair whose token has the lowest number, the library the pair that stands first among
+    the merges. Both are one where numbers rise with the merges and every token of more than a byte is
+    made by one; another vocabulary is read by ``Bpe``. Special tokens are cut out of a text first."""
 
     def __init__(self, path: str):
-        super().__init__(path)
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core for each task
-        from tokenizers import Tokenizer
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
-        self.border = next((t for t, i in self.special.items() if self.library.encode(f" a{t} a", add_special_tokens=False).ids
-                            == [*self.library.encode(" a", add_special_tokens=False).ids, i, *self.library.encode(" a", add_special_tokens=False).ids]), None)
-
-    def words(self, words: list[str]) -> list[bytes]:
-        if self.border is None:
-            return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
-        out = []
-        for i in range(0, len(words), RUN):
-            run = self.border.join(words[i:i + RUN])
-            ids = np.array(self.library.encode_batch_fast([run], add_special_tokens=False)[0].ids, "<u4")
-            data, ends = ids.tobytes(), (4 * np.nonzero(ids == self.special[self.border])[0]).tolist()
-            out += [data[a:b] for a, b in zip([0, *[x + 4 for x in ends]], [*ends, len(data)])]
-        return out
+        self.own = Bpe(path)
+        made = [token for _, token in sorted(self.own.pairs.values())]
+        ranks = {b: i for i, b in self.own.id_bytes.items() if i not in self.own.special.values()}
+        rising = all(a < b for a, b in zip([int(self.own.byte_id.max()), *made], made))
+        self.encoding = None
+        if rising and len(ranks) == 256 + len(made):
+            import tiktoken
+            self.encoding = tiktoken.Encoding("ids", pat_str=PRETOKEN, mergeable_ranks=ranks, special_tokens={})
 
-    def chunks(self, chunks: list[str]) -> dict[str, bytes]:
-        return dict(zip(chunks, self.words([" " + x for x in chunks])))
+    def encode(self, text: str) -> list[int]:
+        if self.encoding is None:
+            return self.own.encode(text)
+        if not any(token in text for token in self.own.special):
+            return self.encoding.encode_ordinary(text)
+        parts = [p for p in self.own.splitter.split(text) if p]
+        return [i for p in parts for i in ([self.own.special[p]] if p in self.own.special else self.encoding.encode_ordinary(p))]
 
 
-_LOADED: dict[str, LibraryIds] = {}
+_LOADED: dict[str, FastIds] = {}
 
 
-def loaded(path: str) -> LibraryIds:
+def loaded(path: str) -> FastIds:
+    """One vocabulary for each Python worker, which Spark keeps for later tasks."""
     if path not in _LOADED:
-        _LOADED[path] = LibraryIds(path)
+        _LOADED[path] = FastIds(path)
     return _LOADED[path]
 
 
+def number(vocabulary: str, end_id: int = END_ID) -> str:
+    """The numbers in which ids of ``vocabulary`` are stored: two bytes where all fit."""
+    most = max(max(loaded(vocabulary).own.id_bytes), end_id)
+    return "<u2" if most < 1 << 16 else "<u4"
+
+
 def tokenize(docs: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFrame:
-    """doc_id and ids (little-endian 32-bit numbers, the end id last)."""
-    end = np.array([end_id], "<u4").tobytes()
+    """doc_id and ids (little-endian numbers of type ``number``, the end id last)."""
+    stored_as = number(vocabulary, end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = loaded(vocabulary)
+        encode = loaded(vocabulary).encode
         for batch in batches:
             for part in slices(batch):
-                coded = ids.encode_batch(part.column("t").to_pylist())
-                yield pa.record_batch({"doc_id": part.column("doc_id"), "ids": pa.array([c + end for c in coded], pa.binary())})
+                coded = [np.array([*encode(t), end_id], stored_as).tobytes() for t in part.column("t").to_pylist()]
+                yield pa.record_batch({"doc_id": part.column("doc_id"), "ids": pa.array(coded, pa.binary())})
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("t")).mapInArrow(run, "doc_id long, ids binary")
 
 
-def term_counts(tokens: DataFrame) -> DataFrame:
+def term_counts(tokens: DataFrame, stored_as: str = "<u4") -> DataFrame:
     """For each term the number of documents that hold it; term -1: documents, -2: ids in all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _LOADED.clear()  # the tokens are stored: a worker's memory of words is not needed any more
         counts, documents, total = np.zeros(0, np.int64), 0, 0
         for batch in batches:
             for ids in batch.column("ids"):
-                terms = np.unique(np.frombuffer(ids.as_buffer(), "<u4"))
+                own = np.frombuffer(ids.as_buffer(), stored_as)
+                terms = np.unique(own)
                 if terms.size and terms[-1] >= counts.size:
                     counts = np.pad(counts, (0, int(terms[-1]) + 1 - counts.size))
                 counts[terms] += 1
-                documents, total = documents + 1, total + len(ids.as_buffer()) // 4
+                documents, total = documents + 1, total + len(own)
         held = np.nonzero(counts)[0]
         yield pa.record_batch({"term": np.concatenate([held, [-1, -2]]).astype(np.int64), "n": np.concatenate([counts[held], [documents, total]]).astype(np.int64)})
 
@@ -127,11 +125,11 @@ def kind(idf: np.ndarray) -> str:
     return "<u2" if len(idf) <= 1 << 16 else "<u4"
 
 
-def routed(tokens: DataFrame, idf: np.ndarray, partitions: int) -> DataFrame:
-    """``tokens`` dealt and sorted by their sketch, the terms of smallest draw: an exponential one for each
+def routed(tokens: DataFrame, idf: np.ndarray, partitions: int, stored_as: str = "<u4") -> DataFrame:
+    """``tokens`` (ids of type ``stored_as``) dealt and sorted by their sketch, the terms of smallest draw: an exponential one for each
     term, the same in all documents, over the square of its idf. The ids are numbers of ``kind``."""
     draws = np.random.default_rng(SEED).exponential(size=(SKETCH, len(idf))) / idf ** 2
-    shared = tokens.sparkSession.sparkContext.broadcast(draws)
+    shared, shuffled_as = tokens.sparkSession.sparkContext.broadcast(draws), kind(idf)
     names = [f"{OWN}sketch{i}" for i in range(SKETCH)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,11 +137,12 @@ def routed(tokens: DataFrame, idf: np.ndarray, partitions: int) -> DataFrame:
         for batch in batches:
             found, small = np.empty((SKETCH, batch.num_rows), np.int64), []
             for at, ids in enumerate(batch.column("ids")):
-                terms = np.frombuffer(ids.as_buffer(), "<u4")
+                terms = np.frombuffer(ids.as_buffer(), stored_as)
                 for i in range(SKETCH):
                     found[i, at] = terms[draws[i][terms].argmin()]
-                small.append(terms.astype(kind(draws[0])).tobytes())
-            yield pa.record_batch({"doc_id": batch.column("doc_id"), "ids": pa.array(small, pa.binary()), f"{OWN}row": batch.column(f"{OWN}row"), **dict(zip(names, found))})
+                if stored_as != shuffled_as:
+                    small.append(terms.astype(shuffled_as).tobytes())
+            yield pa.record_batch({"doc_id": batch.column("doc_id"), "ids": pa.array(small, pa.binary()) if stored_as != shuffled_as else batch.column("ids"), f"{OWN}row": batch.column(f"{OWN}row"), **dict(zip(names, found))})
 
     numbered = tokens.withColumn(f"{OWN}row", F.monotonically_increasing_id())
     keyed = numbered.mapInArrow(run, f"doc_id long, ids binary, {OWN}row long, " + ", ".join(f"{n} long" for n in names))
@@ -227,7 +226,8 @@ def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, end_id: int = E
     path = shared_path(spark, "packing-tokens")
     tokenize(docs, vocabulary, end_id).write.option("compression", "zstd").parquet(path)
     tokens = spark.read.schema("doc_id long, ids binary").parquet(path)
-    counts = {r["term"]: r["n"] for r in term_counts(tokens).collect()}  # at most the vocabulary's size
+    stored_as = number(vocabulary, end_id)
+    counts = {r["term"]: r["n"] for r in term_counts(tokens, stored_as).collect()}  # at most the vocabulary's size
     documents, total = counts.pop(-1, 0), counts.pop(-2, 0)
     df = np.zeros(max(counts, default=0) + 1)
     df[list(counts)] = list(counts.values())
@@ -249,7 +249,7 @@ def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, end_id: int = E
                 "doc_tokens": shard.lengths[doc], "sequence_id": sequence + number, "offset": offset})
             sequence += used
 
-    return stored(routed(tokens, idf, -(-total // (TASK_SHARDS * shard_tokens)) or 1).mapInArrow(run, SCHEMA), "packing-pieces", "zstd")
+    return stored(routed(tokens, idf, -(-total // (TASK_SHARDS * shard_tokens)) or 1, stored_as).mapInArrow(run, SCHEMA), "packing-pieces", "zstd")
 
 
 def shards(batches: Iterator[pa.RecordBatch], most: int, kind: str = "<u4") -> Iterator[tuple[list, list[np.ndarray]]]:

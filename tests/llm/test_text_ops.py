@@ -29,7 +29,7 @@ def test_bpe_is_the_library(text):
     want = LIBRARY.encode(text, add_special_tokens=False).ids
     assert BPE.encode(text) == want
     assert BPE.decode(want) == LIBRARY.decode(want, skip_special_tokens=False)
-    assert np.frombuffer(packing.loaded(PATH).encode_batch([text])[0], "<u4").tolist() == want
+    assert packing.loaded(PATH).encode(text) == want
 
 
 @pytest.mark.parametrize("word", ["a" * 3000, "ab" * 200, "thethe" * 50, "é" * 100, "x", ""])
@@ -99,6 +99,32 @@ def test_neighbours_are_ranked_by_bm25():
     assert sorted(shard.order(64)) == list(range(30))
 
 
+def test_fast_ids_are_the_library(tmp_path):
+    """Odd, long and special texts, and a vocabulary whose numbers do not follow its merges."""
+    import json
+    ids = packing.loaded(PATH)
+    assert ids.encoding is not None and packing.number(PATH) == "<u2" and packing.number(PATH, 70_000) == "<u4"
+    for text in (" " * 200_000, "\n" * 100_000 + "a", "a" * 100_000, "^" * 50_000, "é日😀" * 5_000, "<|endoftext|>" * 300, "x <|endoftext|>", " \x85\u2028 \u3000a ", "<|endoftext| >", "1" * 20_000):
+        assert ids.encode(text) == LIBRARY.encode(text, add_special_tokens=False).ids, text[:20]
+    with open(PATH, encoding="utf-8") as f:
+        spec = json.load(f)
+    vocab = spec["model"]["vocab"]
+    low, high = sorted(vocab.values())[300], sorted(vocab.values())[400]
+    names = {i: t for t, i in vocab.items()}
+    vocab[names[low]], vocab[names[high]] = high, low
+    other = tmp_path / "other.json"
+    other.write_text(json.dumps(spec), encoding="utf-8")
+    assert packing.FastIds(str(other)).encoding is None
+    assert packing.FastIds(str(other)).encode("the other thing is here") == Tokenizer.from_file(str(other)).encode("the other thing is here").ids
+
+
+def test_packing_of_wide_ids(docs):
+    """An end id beyond two bytes: ids are stored in four, and every piece is right."""
+    got = packing.pack(docs, PATH, end_id=70_000, shard_tokens=500).select("length", "ids").collect()
+    assert all(len(r["ids"]) == 4 * r["length"] for r in got)
+    assert 70_000 in {int(i) for r in got for i in np.frombuffer(r["ids"], "<u4")}
+
+
 def test_packing_routes_neighbours_to_one_shard(llm):
     rng = np.random.default_rng(6)
     texts = [(rng.zipf(1.3, 60) % 3000).astype("<u4") for _ in range(200)]
