@@ -61,10 +61,10 @@ def item_summary(q: DataFrame) -> DataFrame:
 def conditional_mean(lagged: DataFrame, min_support: int = 100) -> DataFrame:
     """Mean outcome of (previous outcome, previous item, item) among training rows whose
     previous row is a training row of the same part; groups of at least ``min_support`` rows
-    (A5, A6, P10). ``lagged`` carries ``bef_*`` columns."""
+    (A5, A6, P10). ``lagged`` carries ``prev_*`` columns."""
     return (lagged
-            .where((F.col("val") == 0) & (F.col("bef_val") == 0) & (F.col("part") == F.col("bef_part")))
-            .groupBy("bef_answered_correctly", "bef_content_id", "content_id")
+            .where((F.col("val") == 0) & (F.col("prev_val") == 0) & (F.col("part") == F.col("prev_part")))
+            .groupBy("prev_answered_correctly", "prev_content_id", "content_id")
             .agg(F.avg("answered_correctly").alias("mean_content_accuracy"),
                  F.count(F.lit(1)).alias("size"))
             .where(F.col("size") >= min_support))

@@ -109,5 +109,5 @@ class FeatureContext:
 
 
 def previous_spec(cols) -> W.Spec:
-    """``bef_<c>`` = the previous row's ``c`` in the user's history."""
-    return W.Spec(("user_id",), lags={f"bef_{c}": (c, 1) for c in cols})
+    """``prev_<c>`` = the previous row's ``c`` in the user's history."""
+    return W.Spec(("user_id",), lags={f"prev_{c}": (c, 1) for c in cols})

@@ -199,8 +199,8 @@ def _last_solved_specs():
 def user_last_solved(ctx, frame, name):
     acc = F.col("_i_mean_content_accuracy")
     return frame.withColumns({
-        f"{name}_prior_answered_correctly": F.col("bef_answered_correctly"),
-        f"{name}_prior_same_part": flag(F.col("part") == F.col("bef_part")),
+        f"{name}_prior_answered_correctly": F.col("prev_answered_correctly"),
+        f"{name}_prior_same_part": flag(F.col("part") == F.col("prev_part")),
         f"{name}_prior_mean_content_accuracy": F.col("_prev_acc"),
         f"{name}_change_rate_mean_content_accuracy": change_rate(F.col("_prev_acc"), acc)})
 
@@ -245,7 +245,7 @@ def user_similarity(ctx, frame, name):
     cur = emb.select(F.col("content_id").alias("_e_cid"), F.col("vec").alias("_vec_cur"))
     prev = emb.select(F.col("content_id").alias("_e_pid"), F.col("vec").alias("_vec_prev"))
     frame = (frame.join(cur, frame.content_id == cur._e_cid, "left").drop("_e_cid")
-                  .join(prev, F.col("bef_content_id") == prev._e_pid, "left").drop("_e_pid"))
+                  .join(prev, F.col("prev_content_id") == prev._e_pid, "left").drop("_e_pid"))
     return (frame.withColumn(f"{name}_similarity", cosine(F.col("_vec_prev"), F.col("_vec_cur")))
                  .drop("_vec_cur", "_vec_prev"))
 
@@ -256,12 +256,12 @@ def user_similarity(ctx, frame, name):
          min_support=100)
 def content_posterior(ctx, frame, name, min_support):
     agg = ctx.posterior(min_support).select(
-        F.col("bef_answered_correctly").alias("_p_ac"), F.col("bef_content_id").alias("_p_cid"),
+        F.col("prev_answered_correctly").alias("_p_ac"), F.col("prev_content_id").alias("_p_cid"),
         F.col("content_id").alias("_p_item"),
         F.col("mean_content_accuracy").alias(f"{name}_mean_content_accuracy"),
         F.col("size").alias(f"{name}_size"))
-    cond = ((frame.content_id == agg._p_item) & (F.col("bef_content_id") == agg._p_cid)
-            & (F.col("bef_answered_correctly") == agg._p_ac))
+    cond = ((frame.content_id == agg._p_item) & (F.col("prev_content_id") == agg._p_cid)
+            & (F.col("prev_answered_correctly") == agg._p_ac))
     return frame.join(agg, cond, "left").drop("_p_ac", "_p_cid", "_p_item")
 
 

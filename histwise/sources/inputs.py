@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -107,6 +107,12 @@ class Inputs:
     check_keys: bool = True
     _cache: dict = field(default_factory=dict, repr=False)
 
+    @classmethod
+    def from_folder(cls, spark: SparkSession, path: str) -> "Inputs":
+        """The five tables as parquet under ``path``, each named after its field."""
+        names = ("train", "questions", "lectures", "val_row_id", "embeddings")
+        return cls(*[spark.read.parquet(f"{path.rstrip('/')}/{n}.parquet") for n in names])
+
     @property
     def spark(self):
         return self.train.sparkSession
