@@ -244,8 +244,11 @@ def user_similarity(ctx, frame, name):
     emb = ctx.inputs.embeddings_side()
     cur = emb.select(F.col("content_id").alias("_e_cid"), F.col("vec").alias("_vec_cur"))
     prev = emb.select(F.col("content_id").alias("_e_pid"), F.col("vec").alias("_vec_prev"))
+    # first rows have no previous item: in a shuffle join they are dealt by row instead of all to one task
+    there = F.col("prev_content_id").isNotNull()
+    key = F.coalesce(F.col("prev_content_id"), F.xxhash64("row_id"))
     frame = (frame.join(cur, frame.content_id == cur._e_cid, "left").drop("_e_cid")
-                  .join(prev, F.col("prev_content_id") == prev._e_pid, "left").drop("_e_pid"))
+                  .join(prev, (key == prev._e_pid) & there, "left").drop("_e_pid"))
     return (frame.withColumn(f"{name}_similarity", cosine(F.col("_vec_prev"), F.col("_vec_cur")))
                  .drop("_vec_cur", "_vec_prev"))
 
