@@ -6,8 +6,8 @@ attachment becomes a placeholder ``<|type:n|>``, where n is its place in the mes
 list of attachments. That list records type, reference and the number of tokens to which the
 placeholder expands (``TOKENS_PER_UNIT`` times the part's units: tiles, seconds, pages).
 
-Template: ``<|turn|>role<|says|>content<|done|>`` for each message. In texts and roles a
-backslash is doubled and ``<|`` becomes ``<\\|``, so no control string of the template can be
+Template: ``<|turn|>role<|says|>content<|done|>`` for each message. In roles and in each run of texts that
+follow each other a backslash is doubled and ``<|`` becomes ``<\\|``, so no control string of the template can be
 in a text, and removing the backslash in front of a character reverses both.
 
 The loss mask is a list of spans (start, length in code points of the formatted text), one for
@@ -53,15 +53,19 @@ def attached(parts: Column) -> Column:
 
 
 def flattened(parts: Column) -> Column:
-    """The content string: escaped texts and numbered placeholders, in order."""
-    state = F.struct(F.lit("").alias("s"), F.lit(0).alias("n"))
+    """The content string: texts and numbered placeholders, in order. Texts that follow each other are escaped
+    as one, so that no control string can be put together from several."""
+    state = F.struct(F.lit("").alias("s"), F.lit("").alias("run"), F.lit(0).alias("n"))
 
     def visit(seen: Column, part: Column) -> Column:
         is_file = F.coalesce(part["type"].isin(*TOKENS_PER_UNIT), F.lit(False))
-        shown = F.when(is_file, F.concat(F.lit("<|"), part["type"], F.lit(":"), seen["n"].cast("string"), F.lit("|>"))).otherwise(escape(F.coalesce(part["text"], F.lit(""))))
-        return F.struct(F.concat(seen["s"], shown).alias("s"), (seen["n"] + is_file.cast("int")).alias("n"))
+        place = F.concat(seen["s"], escape(seen["run"]), F.lit("<|"), part["type"], F.lit(":"), seen["n"].cast("string"), F.lit("|>"))
+        text = F.concat(seen["run"], F.coalesce(part["text"], F.lit("")))
+        return F.struct(
+            F.when(is_file, place).otherwise(seen["s"]).alias("s"), F.when(is_file, F.lit("")).otherwise(text).alias("run"),
+            (seen["n"] + is_file.cast("int")).alias("n"))
 
-    return F.aggregate(F.coalesce(parts, F.array().cast(f"array<{PART}>")), state, visit)["s"]
+    return F.aggregate(F.coalesce(parts, F.array().cast(f"array<{PART}>")), state, visit, lambda x: F.concat(x["s"], escape(x["run"])))
 
 
 def format_chat(messages: DataFrame) -> DataFrame:

@@ -42,6 +42,9 @@ FOLDS = 5
 PREFIXES = (3, 4, 5, 6, 7)
 MIN_DOCS, MIN_RATIO, MIN_GAIN = 3, 4.0, 20.0
 SEGMENT, ROUNDS, RATE, L2 = 32, 60, 0.25, 1e-3
+#: Share of the labelled sample's segments without any lexicon feature that the chain learns from. Scoring
+#: takes every segment of every text.
+PLAIN_SEGMENTS = 0.05
 #: Words that a task remembers; bounds the memory only.
 MEMO_WORDS = 1 << 19
 WORD = re.compile(r"\w+")
@@ -166,7 +169,7 @@ def fit_chain(docs: list[list[str]], toxic: np.ndarray, ids: dict[str, list[int]
         own = [[chosen[f] for f in ids[w] if f in chosen] for w in words]
         for i in range(0, len(own), SEGMENT):
             part = own[i:i + SEGMENT]
-            if any(part) or rng.random() < 0.05:
+            if any(part) or rng.random() < PLAIN_SEGMENTS:
                 rows.append(part)
                 labels.append([bool(y and f) for f in part])
                 held.append(len(part))
