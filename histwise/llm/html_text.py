@@ -55,6 +55,8 @@ class Lines(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, bool, int, int]] = []  # tag, without text, container, innermost element hidden by name
+        self.places: dict[str, list[int]] = {}  # of each tag among the open ones, so that no event scans them
+        self.textless = 0  # open tags in NO_TEXT
         self.named_in: list[int] = [0]  # for each element hidden by name the one around it; 0: none
         self.holds: list[bool] = [True]  # whether it holds an article or main
         self.regions = 1
@@ -64,6 +66,21 @@ class Lines(HTMLParser):
         self.tags = 0
         self.blocks: list[tuple[list[tuple[str, int]], int, int]] = []  # parts, tags, container
 
+    def push(self, tag: str, hidden: bool, region: int, by: int) -> None:
+        self.places.setdefault(tag, []).append(len(self.open))
+        self.textless += tag in NO_TEXT
+        self.open.append((tag, hidden, region, by))
+
+    def pop(self) -> str:
+        tag = self.open.pop()[0]
+        self.places[tag].pop()
+        self.textless -= tag in NO_TEXT
+        return tag
+
+    def last(self, tags: set[str]) -> int:
+        """The innermost place of one of ``tags``; -1 where none is open."""
+        return max((places[-1] for t in tags if (places := self.places.get(t))), default=-1)
+
     def line(self) -> None:
         if any(text.strip() for text, _ in self.parts):
             self.blocks.append((self.parts, self.tags, self.open[-1][2] if self.open else 0))
@@ -97,9 +114,9 @@ class Lines(HTMLParser):
         if tag in VOID:
             return
         if tag in MARKED:  # no article stands in a menu: what is open there was never closed
-            while any(t in NO_TEXT for t, *_ in self.open):
-                self.open.pop()
-        if tag in ENDS_PARAGRAPH and any(t == "p" for t, *_ in self.open):
+            while self.textless:
+                self.pop()
+        if tag in ENDS_PARAGRAPH and self.places.get("p"):
             self.leave({"p"}, CONTAINERS | {"li", "blockquote"})
         if tag in SAME_CLOSES:
             self.leave(SAME_CLOSES[tag], {"ul", "ol", "dl", "table", "select"})
@@ -113,7 +130,7 @@ class Lines(HTMLParser):
         elif hidden == "headings" and tag in HEADINGS:
             hidden = False
         by = self.open[-1][3] if self.open else 0
-        if tag in MARKED and not any(t == "article" for t, *_ in self.open):
+        if tag in MARKED and not self.places.get("article"):
             at = by
             while not self.holds[at]:
                 self.holds[at], at = True, self.named_in[at]
@@ -126,20 +143,18 @@ class Lines(HTMLParser):
             region, self.regions = self.regions, self.regions + 1
             if tag in MARKED:
                 self.marked.add(region)
-        self.open.append((tag, hidden, region, by))
+        self.push(tag, hidden, region, by)
 
     @staticmethod
     def named(attrs) -> bool:
         return any(k in ("class", "id", "role") and v and NOT_ARTICLE.search(v) or k in ("hidden",) or k == "aria-hidden" and v == "true" for k, v in attrs)
 
     def leave(self, tags: set[str], limit: set[str]) -> None:
-        for at in range(len(self.open) - 1, -1, -1):
-            if self.open[at][0] in tags:
-                self.line()
-                del self.open[at:]
-                return
-            if self.open[at][0] in limit:
-                return
+        at = self.last(tags)
+        if at > self.last(limit):
+            self.line()
+            while len(self.open) > at:
+                self.pop()
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -150,8 +165,8 @@ class Lines(HTMLParser):
         if tag in BLOCK or tag in NO_TEXT:
             self.line()
         self.tags += 1
-        if any(t == tag for t, *_ in self.open):
-            while self.open.pop()[0] != tag:
+        if self.places.get(tag):
+            while self.pop() != tag:
                 pass
 
     def handle_data(self, data):

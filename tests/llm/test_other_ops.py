@@ -57,6 +57,17 @@ def test_short_blocks_stay_with_their_article():
     assert "One" not in html_text.main_text(f"<body>{links}{several}{links}</body>")
 
 
+@pytest.mark.parametrize("broken", ["<div>{n}</b>", "<div><p>{n}", "<li>x{n}</i>", "<nav>{n}<article>", "<span class=ad>{n}</div>", "<p>a{n}<table>"])
+def test_broken_pages_take_linear_time(broken):
+    """A megabyte of tags that are never closed: no event scans what is open."""
+    import time
+    head, _, tail = broken.partition("{n}")
+    page = head * (500_000 // len(head)) + tail * (500_000 // len(tail) if tail else 0)
+    begin = time.process_time()
+    html_text.main_text(page)
+    assert time.process_time() - begin < 15  # it was over an hour
+
+
 def test_pages_query(llm):
     def plain(page):
         m = re.search(r"<article>(.*?)(?:</article>|$)", page, re.S)
