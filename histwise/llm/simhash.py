@@ -4,17 +4,21 @@ Fingerprints: 64 bits, the bitwise majority of the hashes of a text's word shing
 them link at ``max_bits`` or fewer differing bits; the classes are the connected components.
 
 1. One pass over the texts writes (doc_id, fingerprint); copies collapse to one fingerprint.
-2. Upper nodes of the index are masked bit patterns. The 64 bits are cut into ``max_bits`` + 6
-   bands; fingerprints that differ in at most ``max_bits`` bits agree on all bands but some
-   ``max_bits``, so each choice of left-out bands is a mask, and the pattern under it is the
-   key by which fingerprints are dealt to tasks. All pairs within reach meet under some mask
-   (no candidate is lost), and a node holds at most 2**16 fingerprints for ``max_bits`` 2, the
-   number of values of the bits left out: no node grows with the corpus.
-3. In a node, fingerprints are sorted by Gray rank, neighbours in that order share bits, and
-   runs of them become lower nodes (mask of shared bits, pattern). A search adds the
-   differences along the path and prunes a whole run once they pass ``max_bits``.
-4. A node gives back one link per fingerprint (to the smallest of its class in that node), never
-   all pairs; components are found over these.
+2. The distinct fingerprints are range-partitioned by Gray rank into blocks of about ``BLOCK_CODES``.
+   Neighbours in that order share bits, so a block is an upper node: the bits that all its codes
+   share (mask) and their values (pattern). Runs of blocks are factored again, up to one small root level.
+3. A search starts at the root level. Each node compares only the bits that no node above it has
+   compared, the differences add up along the path, and a node whose sum passes ``max_bits`` is
+   pruned with all that lies under it. What is left are the blocks a fingerprint has to visit; of a pair in
+   two blocks, the one in the lower block visits.
+4. Each block builds the same hierarchy over its own codes and its visitors search it to the leaves.
+   Visitors of a busy block are dealt to slices, each with a copy of the block's codes.
+5. A slice gives back one link per visitor and one per code (to the smallest code of its class there),
+   never all pairs; components are found over these.
+
+Sizes: the upper nodes are broadcast and are at most ``MAX_BLOCKS`` rows of 20 bytes, whatever the corpus;
+beyond ``MAX_BLOCKS * BLOCK_CODES`` distinct fingerprints the blocks grow (8 bytes a code in a task).
+A search's working set is at most ``FRONTIER`` places, as it takes fewer visitors at a time in large blocks.
 
 Inputs: a null or empty text, or one without words, has fingerprint zero and links like any other;
 fewer words than a shingle: the whole sequence is the shingle; texts of any length are read
@@ -37,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from histwise.llm.bpe import slices
-from histwise.llm.common import ready, stored, text_or_empty
+from histwise.llm.common import hot_join, ready, stored, text_or_empty
 from histwise.llm.components import components
 
 WORDS_PER_SHINGLE = 3
@@ -45,7 +49,12 @@ MAX_BITS = 2
 SEED = 42
 _WORDS = re.compile(rb"[^\x20\x09-\x0D]+").findall
 BLOCK = 1 << 14
-LEAF, FAN = 16, 16
+#: Codes in a run at the lowest level, and nodes in a run above it.
+LEAF, FAN = 8, 8
+#: Distinct fingerprints in a block, blocks at most (their patterns are broadcast), visitors in a slice.
+BLOCK_CODES, MAX_BLOCKS, SLICE = 1 << 13, 1 << 16, 1 << 17
+#: Most places (visitor, node) that one step of a search holds.
+FRONTIER = 1 << 21
 
 
 def fingerprint(text: str, words_per_shingle: int = WORDS_PER_SHINGLE) -> int:
@@ -94,31 +103,19 @@ def coded(spark, words_per_shingle: int = WORDS_PER_SHINGLE):
     return arrow_udf(run, "long")
 
 
-def masks(max_bits: int) -> list[int]:
-    """Masks (as signed longs) of which every pair within ``max_bits`` agrees on at least one."""
-    n = max_bits + 6
-    ends = [64 * i // n for i in range(n + 1)]
-    bands = [((1 << (b - a)) - 1) << a for a, b in zip(ends, ends[1:])]
-    out = []
-    for left_out in itertools.combinations(bands, max_bits):
-        mask = (1 << 64) - 1 - sum(left_out)
-        out.append(mask - (1 << 64) if mask >> 63 else mask)
-    return out
-
-
-def gray_rank(code: Column) -> Column:
-    """The place of a code in Gray order."""
+def gray_order(code: Column) -> Column:
+    """A long that sorts as the code's place in Gray order does."""
     for shift in (1, 2, 4, 8, 16, 32):
         code = code.bitwiseXOR(F.shiftrightunsigned(code, shift))
-    return code
+    return code.bitwiseXOR(F.lit(-(1 << 63)))
 
 
 class GrayIndex:
-    """Nodes over codes sorted by Gray rank: runs of codes, then runs of nodes."""
+    """Nodes over codes sorted by Gray rank: runs of codes, then runs of nodes. The lowest level may
+    be nodes itself (``mask`` tells which bits of a pattern count)."""
 
-    def __init__(self, codes: np.ndarray):
-        ones = np.full(len(codes), ~np.uint64(0))
-        self.levels = [(codes, ones)]  # pattern and mask, leaves first
+    def __init__(self, codes: np.ndarray, mask: np.ndarray | None = None):
+        self.levels = [(codes, np.full(len(codes), ~np.uint64(0)) if mask is None else mask)]  # pattern and mask, leaves first
         while len(self.levels[-1][0]) > FAN:
             pattern, mask = self.levels[-1]
             width = LEAF if len(self.levels) == 1 else FAN
@@ -126,9 +123,11 @@ class GrayIndex:
             run = np.repeat(pattern[first], np.diff([*first, len(pattern)]))
             shared = np.bitwise_and.reduceat(mask & ~(pattern ^ run), first)
             self.levels.append((pattern[first] & shared, shared))
+        #: Nodes compared and nodes pruned by searches so far, by level (leaves first).
+        self.compared, self.pruned = [0] * len(self.levels), [0] * len(self.levels)
 
     def search(self, queries: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-        """Places (query, code) of all pairs with at most ``most`` differences."""
+        """Places (query, code) of all pairs with at most ``most`` differences, by query."""
         pattern, mask = self.levels[-1]
         query = np.repeat(np.arange(len(queries)), len(pattern))
         node = np.tile(np.arange(len(pattern)), len(queries))
@@ -137,21 +136,30 @@ class GrayIndex:
         for depth in range(len(self.levels) - 1, -1, -1):
             pattern, mask = self.levels[depth]
             differ = differ + np.bitwise_count((queries[query] ^ pattern[node]) & mask[node] & ~known)
-            near = differ <= most
+            near = np.nonzero(differ <= most)[0]
+            self.compared[depth] += len(query)
+            self.pruned[depth] += len(query) - len(near)
             query, node, differ = query[near], node[near], differ[near]
             if not depth:
-                return query, node
+                break
             known, below = mask[node], len(self.levels[depth - 1][0])
             width = LEAF if depth == 1 else FAN
             size = np.minimum(width, below - node * width)
             begin = np.repeat(node * width - np.cumsum(size) + size, size)
             query, known, differ = np.repeat(query, size), np.repeat(known, size), np.repeat(differ, size)
             node = begin + np.arange(len(begin))
+        return query, node
+
+    def searches(self, queries: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """``search`` over any number of queries, so many at a time that ``FRONTIER`` holds."""
+        step = min(1024, max(1, FRONTIER // max(1, len(self.levels[0][0]))))
+        for i in range(0, len(queries), step):
+            query, node = self.search(queries[i:i + step], most)
+            yield query + i, node
 
 
-def roots(n: int, a: np.ndarray, b: np.ndarray, label: np.ndarray | None = None) -> np.ndarray:
-    """Smallest place of each place's class under the links a - b."""
-    label = np.arange(n) if label is None else label
+def roots(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Smallest place of each place's class: the classes of ``label``, joined by the links a - b."""
     while True:
         low = np.minimum(label[a], label[b])
         new = label.copy()
@@ -163,62 +171,93 @@ def roots(n: int, a: np.ndarray, b: np.ndarray, label: np.ndarray | None = None)
         label = new
 
 
-def node_links(codes: np.ndarray, groups: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links (code, smallest code of its class in the node) within the upper nodes. Rows come
-    sorted by node (``groups``) and Gray rank."""
-    n = len(codes)
-    begin = np.concatenate([[0], np.nonzero(groups[1:] != groups[:-1])[0] + 1])
-    size = np.diff([*begin, n])
-    label = np.arange(n)
-    few = np.repeat(size <= 2 * LEAF, size)
-    a, b, step = [], [], 1
-    while step < n:  # small nodes are single leaves: each place against the ones after it
-        same = np.nonzero((groups[step:] == groups[:-step]) & few[step:])[0]
-        if not same.size:
-            break
-        near = same[np.bitwise_count(codes[same] ^ codes[same + step]) <= max_bits]
-        a.append(near)
-        b.append(near + step)
-        step += 1
-    if a:
-        label = roots(n, np.concatenate(a), np.concatenate(b), label)
-    for first, count in zip(begin[size > 2 * LEAF].tolist(), size[size > 2 * LEAF].tolist()):
-        own = codes[first:first + count]
-        index = GrayIndex(own)
-        for i in range(0, count, 512):
-            query, found = index.search(own[i:i + 512], max_bits)
-            label = roots(n, first + i + query, first + found, label)
-    tied = np.nonzero(label != np.arange(n))[0]
-    return codes[tied], codes[label[tied]]
-
-
-def links(codes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+class Block:
+    """The codes of one block (by Gray rank) and the classes that searches have found among them."""
+
+    def __init__(self, codes: np.ndarray, max_bits: int):
+        self.codes, self.max_bits = codes, max_bits
+        self.index, self.label = GrayIndex(codes), np.arange(len(codes))
+
+    def visit(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A link from each query that reaches a code; codes that share a visitor are of one class."""
+        u, v = [queries[:0]], [queries[:0]]
+        for query, found in self.index.searches(queries, self.max_bits):
+            if len(query):
+                who, first, which = np.unique(query, return_index=True, return_inverse=True)
+                self.label = roots(self.label, found, found[first][which])
+                u.append(queries[who])
+                v.append(self.codes[found[first]])
+        return np.concatenate(u), np.concatenate(v)
+
+    def ties(self) -> tuple[np.ndarray, np.ndarray]:
+        tied = np.nonzero(self.label != np.arange(len(self.label)))[0]
+        return self.codes[tied], self.codes[self.label[tied]]
+
+
+def upper_nodes(blocks: DataFrame) -> tuple[np.ndarray, GrayIndex]:
+    """The blocks' numbers, and the index over their patterns: at most ``MAX_BLOCKS`` rows."""
+    rows = blocks.groupBy("block").agg(F.bit_and("fp").alias("all"), F.bit_or("fp").alias("any")).orderBy("block").collect()
+    low, high = (np.array([r[c] for r in rows], np.int64).view(np.uint64) for c in ("all", "any"))
+    mask = ~(low ^ high)
+    return np.array([r["block"] for r in rows], np.int32), GrayIndex(low & mask, mask)
+
+
+def links(codes: DataFrame, max_bits: int = MAX_BITS, block_codes: int = BLOCK_CODES, slice_rows: int = SLICE) -> DataFrame:
     """Links u - v between distinct fingerprints (fp), enough to connect all pairs within reach."""
-    patterns = F.array(*[F.struct(F.lit(i).cast("short").alias("mask"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(masks(max_bits))])
-    dealt = (codes.select("fp", F.explode(patterns).alias("p")).select("p.mask", "p.key", "fp")
-             .repartition("mask", "key").sortWithinPartitions("mask", "key", gray_rank(F.col("fp"))))
+    spark = ready(codes.sparkSession)
+    codes = stored(codes, "simhash-codes")
+    count = max(1, min(MAX_BLOCKS, -(-codes.count() // block_codes)))
+    blocks = codes.repartitionByRange(count, gray_order(F.col("fp"))).select(F.spark_partition_id().alias("block"), "fp")
+    blocks = stored(blocks, "simhash-blocks")
+    upper = spark.sparkContext.broadcast(upper_nodes(blocks))
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, index = upper.value
+        for batch in batches:
+            own = batch.column("block").to_numpy()
+            fp = batch.column("fp").to_numpy().view(np.uint64)
+            for query, node in index.searches(fp, max_bits):
+                later = names[node] > own[query]
+                yield pa.record_batch({"block": names[node[later]], "fp": fp[query[later]].view(np.int64)})
+
+    visits = stored(blocks.mapInArrow(route, "block int, fp long"), "simhash-visits")
+    slices = F.broadcast(visits.groupBy("block").agg(F.ceil(F.count("*") / F.lit(slice_rows)).cast("int").alias("slices")))  # MAX_BLOCKS rows at most
+    slices_or_one = F.coalesce("slices", F.lit(1))
+    own = blocks.join(slices, "block", "left").select("block", F.explode(F.sequence(F.lit(0), slices_or_one - 1)).alias("slice"), F.lit(False).alias("visitor"), "fp")
+    others = visits.join(slices, "block").select("block", F.pmod(F.xxhash64("fp"), "slices").cast("int").alias("slice"), F.lit(True).alias("visitor"), "fp")
+    dealt = own.unionByName(others).repartition("block", "slice").sortWithinPartitions("block", "slice", "visitor", gray_order(F.col("fp")))
+
+    def linked(u: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
+        return pa.record_batch({"u": u.view(np.int64), "v": v.view(np.int64)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        size = 0
+        """Rows come by block and slice: the codes first, then their visitors."""
+        now, held, block = None, [], None
 
-        def linked(rows: np.ndarray) -> pa.RecordBatch:
-            group = np.cumsum(np.concatenate([[0], (np.diff(rows[0]) != 0) | (np.diff(rows[1]) != 0)]))
-            a, b = node_links(rows[2].view(np.uint64), group, max_bits)
-            return pa.record_batch({"u": a.view(np.int64), "v": b.view(np.int64)})
+        def opened() -> Block:
+            new = Block(np.concatenate(held), max_bits)
+            if now[1] == 0:  # once for each block
+                new.visit(new.codes)
+            return new
 
         for batch in batches:
-            held.append(np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("mask", "key", "fp")]))
-            size += batch.num_rows
-            if size >= BLOCK:
-                rows = np.ascontiguousarray(np.concatenate(held, axis=1))
-                last = np.nonzero((rows[0] != rows[0, -1]) | (rows[1] != rows[1, -1]))[0]
-                cut = int(last[-1]) + 1 if last.size else 0  # the last node may go on
-                if cut:
-                    yield linked(np.ascontiguousarray(rows[:, :cut]))
-                held, size = [rows[:, cut:]], rows.shape[1] - cut
-        if size:
-            yield linked(np.ascontiguousarray(np.concatenate(held, axis=1)))
+            if not batch.num_rows:
+                continue
+            numbers = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("block", "slice", "visitor")])
+            fp = batch.column("fp").to_numpy().view(np.uint64)
+            cuts = np.nonzero((np.diff(numbers) != 0).any(axis=0))[0] + 1
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(fp)]):
+                if now != (key := (int(numbers[0, a]), int(numbers[1, a]))):
+                    if now is not None:
+                        yield linked(*(block or opened()).ties())
+                    now, held, block = key, [], None
+                if numbers[2, a]:
+                    block = block or opened()
+                    yield linked(*block.visit(fp[a:b]))
+                else:
+                    held.append(fp[a:b])
+        if now is not None:
+            yield linked(*(block or opened()).ties())
 
     return dealt.mapInArrow(run, "u long, v long")
 
@@ -227,12 +266,13 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = WORDS_PER_SHINGLE,
     """doc_id, fp (64 bits as a long), root (which names the class) and component_id (smallest doc_id of
     the class) of every row of ``docs`` (doc_id, text)."""
     fps = stored(fingerprints(docs, words_per_shingle), "simhash")
-    by_code = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    by_code = fps.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
     tied = components(links(fps.select("fp").distinct(), max_bits))
-    rooted = by_code.join(tied, by_code["fp"] == tied["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
+    rooted = by_code.join(tied, by_code["fp"] == tied["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "least", "n")
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = stored(rooted.join(names, "root").select(F.col("fp").alias("code"), "root", "component_id"), "simhash-classes")
-    return fps.join(classes, fps["fp"] == classes["code"]).select("doc_id", "fp", "root", "component_id")
+    classes = stored(rooted.join(names, "root").select("fp", "root", "component_id", "n"), "simhash-classes")
+    spread = F.coalesce(F.xxhash64(F.col("doc_id")), F.lit(0)) + F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()).otherwise(0)
+    return hot_join(fps, classes, ["fp"], "n", spread).select("doc_id", "fp", "root", "component_id")
 
 
 def contract(docs: DataFrame) -> DataFrame:

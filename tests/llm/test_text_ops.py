@@ -12,6 +12,8 @@ import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from paths import SF01
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from histwise.llm import bpe, exact_dedup, line_dedup, packing, simhash
@@ -183,23 +185,28 @@ def plain_fingerprint(text):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def plain_classes(rows, codes, most):
-    root = list(range(len(rows)))
+def plain_roots(codes, most):
+    root = list(range(len(codes)))
 
     def find(i):
         while root[i] != i:
             i = root[i]
         return i
 
-    for i in range(len(rows)):
+    for i in range(len(codes)):
         for j in range(i):
             if bin(codes[i] ^ codes[j]).count("1") <= most:
                 root[find(i)] = find(j)
+    return [find(i) for i in range(len(codes))]
+
+
+def plain_classes(rows, codes, most):
+    root = plain_roots(codes, most)
     least = {}
     for i, (d, _) in enumerate(rows):
         if d is not None:
-            least[find(i)] = min(d, least.get(find(i), d))
-    return Counter((d, f"{codes[i]:016x}", least.get(find(i))) for i, (d, _) in enumerate(rows))
+            least[root[i]] = min(d, least.get(root[i], d))
+    return Counter((d, f"{codes[i]:016x}", least.get(root[i])) for i, (d, _) in enumerate(rows))
 
 
 def test_simhash_query(docs, rows, none):
@@ -209,20 +216,49 @@ def test_simhash_query(docs, rows, none):
     assert simhash.contract(none).count() == 0
 
 
-def test_links_join_all_within_reach(llm):
+@pytest.mark.parametrize("sizes", [{}, {"block_codes": 32, "slice_rows": 16}])
+def test_links_join_all_within_reach(llm, sizes):
     rng = random.Random(5)
     codes = [rng.getrandbits(64) for _ in range(60)]
-    for _ in range(400):  # chains and dense groups, also in one node of the index
+    for _ in range(400):  # chains and dense groups, also in one block of the index
         code = rng.choice(codes)
         for _ in range(rng.randint(1, 3)):
             code ^= 1 << rng.choice([rng.randrange(64), rng.randrange(16)])
         codes.append(code)
     codes = sorted(set(codes) | {0, 1, 3, 2**64 - 1})
     signed = [c - (1 << 64) if c >> 63 else c for c in codes]
-    tied = {r["node"]: r["root"] for r in components(simhash.links(llm.createDataFrame([(c,) for c in signed], "fp long"))).collect()}
-    got = Counter(tied.get(c, c) for c in signed)
-    want = plain_classes([(i, "") for i in range(len(codes))], codes, 2)
-    assert sorted(got.values()) == sorted(Counter(k[2] for k in want).values())
+    found = simhash.links(llm.createDataFrame([(c,) for c in signed], "fp long"), **sizes).collect()
+    assert {c for r in found for c in r} <= set(signed)
+    tied = {r["node"]: r["root"] for r in components(llm.createDataFrame(found, "u long, v long")).collect()}
+    got = {}
+    for i, c in enumerate(signed):
+        got.setdefault(tied.get(c, c), set()).add(i)
+    want = {}
+    for i, r in enumerate(plain_roots(codes, 2)):
+        want.setdefault(r, set()).add(i)
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
+
+
+def test_upper_nodes_prune_whole_groups(llm):
+    fps = simhash.fingerprints(llm.read.parquet(f"{SF01}/documents.parquet")).select("fp").distinct()
+    blocks = fps.repartitionByRange(64, simhash.gray_order(F.col("fp"))).select(F.spark_partition_id().alias("block"), "fp").cache()
+    names, upper = simhash.upper_nodes(blocks)
+    rows = blocks.collect()
+    codes, own = np.array([r["fp"] for r in rows], np.int64).view(np.uint64), np.array([r["block"] for r in rows])
+    visited = set()
+    for query, node in upper.searches(codes, 2):
+        visited.update(zip(query.tolist(), names[node].tolist()))
+    assert visited >= {(i, b) for i, b in enumerate(own.tolist())}
+    near = np.nonzero(np.bitwise_count(codes[:, None] ^ codes[None, :]) <= 2)
+    assert visited >= {(i, int(own[j])) for i, j in zip(*(x.tolist() for x in near))}
+    # 9 root nodes share about 3 bits, so up to one in eight differs by more than 2; 64 blocks share about 6, of which
+    # random codes differ in 2 or fewer with (1 + 6 + 15) / 64
+    assert len(upper.levels) == 2 and upper.pruned[1] > 0 and upper.compared[0] < len(codes) * len(names)
+    assert len(visited) < 0.4 * len(codes) * len(names)
+    # and so it goes on inside a block
+    inner = simhash.Block(codes[np.argsort([rank(c) for c in codes.tolist()])], 2)
+    inner.visit(codes)
+    assert sum(inner.index.pruned[1:]) > 0 and inner.index.compared[0] < 0.5 * len(codes) ** 2
 
 
 def test_gray_index_finds_all_pairs():
