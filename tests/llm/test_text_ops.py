@@ -251,10 +251,10 @@ def test_upper_nodes_prune_whole_groups(llm):
     assert visited >= {(i, b) for i, b in enumerate(own.tolist())}
     near = np.nonzero(np.bitwise_count(codes[:, None] ^ codes[None, :]) <= 2)
     assert visited >= {(i, int(own[j])) for i, j in zip(*(x.tolist() for x in near))}
-    # 9 root nodes share about 3 bits, so up to one in eight differs by more than 2; 64 blocks share about 6, of which
-    # random codes differ in 2 or fewer with (1 + 6 + 15) / 64
+    # 9 root nodes share about 3 bits, so up to one in eight differs by more than 2; 64 blocks share about 5 (their
+    # ends are no powers of two), of which random codes differ in 2 or fewer with (1 + 5 + 10) / 32
     assert len(upper.levels) == 2 and upper.pruned[1] > 0 and upper.compared[0] < len(codes) * len(names)
-    assert len(visited) < 0.4 * len(codes) * len(names)
+    assert len(visited) < 0.5 * len(codes) * len(names)
     # and so it goes on inside a block
     inner = simhash.Block(codes[np.argsort([rank(c) for c in codes.tolist()])], 2)
     inner.visit(codes)
