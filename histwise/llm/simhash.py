@@ -18,7 +18,9 @@ them link at ``max_bits`` or fewer differing bits; the classes are the connected
 
 Sizes: the upper nodes are broadcast and are at most ``MAX_BLOCKS`` rows of 20 bytes, whatever the corpus;
 beyond ``MAX_BLOCKS * BLOCK_CODES`` distinct fingerprints the blocks grow (8 bytes a code in a task).
-A search's working set is at most ``FRONTIER`` places, as it takes fewer visitors at a time in large blocks.
+A search's working set is at most ``FRONTIER`` places (or one visitor's): where it would pass them, half the
+visitors are searched at a time. With p bits shared in a block, a random fingerprint visits about half of
+1 + p + p (p - 1) / 2 blocks; p is the logarithm of the number of blocks, so visits grow with its square.
 
 Inputs: a null or empty text, or one without words, has fingerprint zero and links like any other;
 fewer words than a shingle: the whole sequence is the shingle; texts of any length are read
@@ -51,9 +53,10 @@ _WORDS = re.compile(rb"[^\x20\x09-\x0D]+").findall
 BLOCK = 1 << 14
 #: Codes in a run at the lowest level, and nodes in a run above it.
 LEAF, FAN = 8, 8
-#: Distinct fingerprints in a block, blocks at most (their patterns are broadcast), visitors in a slice.
-BLOCK_CODES, MAX_BLOCKS, SLICE = 1 << 13, 1 << 16, 1 << 17
-#: Most places (visitor, node) that one step of a search holds.
+#: Distinct fingerprints in a block, blocks at least (so that tasks have work) and at most (their patterns
+#: are broadcast), visitors in a slice.
+BLOCK_CODES, MIN_BLOCKS, MAX_BLOCKS, SLICE = 1 << 16, 64, 1 << 16, 1 << 19
+#: Most places (visitor, node) that a search of several visitors holds.
 FRONTIER = 1 << 21
 
 
@@ -126,8 +129,9 @@ class GrayIndex:
         #: Nodes compared and nodes pruned by searches so far, by level (leaves first).
         self.compared, self.pruned = [0] * len(self.levels), [0] * len(self.levels)
 
-    def search(self, queries: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-        """Places (query, code) of all pairs with at most ``most`` differences, by query."""
+    def search(self, queries: np.ndarray, most: int, places: int | None = None) -> tuple[np.ndarray, np.ndarray] | None:
+        """Places (query, code) of all pairs with at most ``most`` differences, by query; None where a step
+        would hold more than ``places``."""
         pattern, mask = self.levels[-1]
         query = np.repeat(np.arange(len(queries)), len(pattern))
         node = np.tile(np.arange(len(pattern)), len(queries))
@@ -145,6 +149,8 @@ class GrayIndex:
             known, below = mask[node], len(self.levels[depth - 1][0])
             width = LEAF if depth == 1 else FAN
             size = np.minimum(width, below - node * width)
+            if places is not None and size.sum() > places:
+                return None
             begin = np.repeat(node * width - np.cumsum(size) + size, size)
             query, known, differ = np.repeat(query, size), np.repeat(known, size), np.repeat(differ, size)
             node = begin + np.arange(len(begin))
@@ -152,10 +158,14 @@ class GrayIndex:
 
     def searches(self, queries: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """``search`` over any number of queries, so many at a time that ``FRONTIER`` holds."""
-        step = min(1024, max(1, FRONTIER // max(1, len(self.levels[0][0]))))
-        for i in range(0, len(queries), step):
-            query, node = self.search(queries[i:i + step], most)
-            yield query + i, node
+        open_parts = [(i, min(i + 1024, len(queries))) for i in range(0, len(queries), 1024)][::-1]
+        while open_parts:
+            a, b = open_parts.pop()
+            found = self.search(queries[a:b], most, FRONTIER if b - a > 1 else None)
+            if found is None:
+                open_parts += [((a + b) // 2, b), (a, (a + b) // 2)]
+            else:
+                yield found[0] + a, found[1]
 
 
 def roots(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -202,11 +212,11 @@ def upper_nodes(blocks: DataFrame) -> tuple[np.ndarray, GrayIndex]:
     return np.array([r["block"] for r in rows], np.int32), GrayIndex(low & mask, mask)
 
 
-def links(codes: DataFrame, max_bits: int = MAX_BITS, block_codes: int = BLOCK_CODES, slice_rows: int = SLICE) -> DataFrame:
+def links(codes: DataFrame, max_bits: int = MAX_BITS, block_codes: int = BLOCK_CODES, slice_rows: int = SLICE, least_blocks: int = MIN_BLOCKS) -> DataFrame:
     """Links u - v between distinct fingerprints (fp), enough to connect all pairs within reach."""
     spark = ready(codes.sparkSession)
     codes = stored(codes, "simhash-codes")
-    count = max(1, min(MAX_BLOCKS, -(-codes.count() // block_codes)))
+    count = min(MAX_BLOCKS, max(least_blocks, -(-codes.count() // block_codes)))
     blocks = codes.repartitionByRange(count, gray_order(F.col("fp"))).select(F.spark_partition_id().alias("block"), "fp")
     blocks = stored(blocks, "simhash-blocks")
     upper = spark.sparkContext.broadcast(upper_nodes(blocks))

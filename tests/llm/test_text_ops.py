@@ -216,7 +216,7 @@ def test_simhash_query(docs, rows, none):
     assert simhash.contract(none).count() == 0
 
 
-@pytest.mark.parametrize("sizes", [{}, {"block_codes": 32, "slice_rows": 16}])
+@pytest.mark.parametrize("sizes", [{}, {"block_codes": 32, "slice_rows": 16, "least_blocks": 1}, {"least_blocks": 1}])
 def test_links_join_all_within_reach(llm, sizes):
     rng = random.Random(5)
     codes = [rng.getrandbits(64) for _ in range(60)]
@@ -261,6 +261,15 @@ def test_upper_nodes_prune_whole_groups(llm):
     assert sum(inner.index.pruned[1:]) > 0 and inner.index.compared[0] < 0.5 * len(codes) ** 2
 
 
+def test_searches_in_halves_are_the_search(monkeypatch):
+    codes = np.arange(2048, dtype=np.uint64)
+    codes ^= codes >> np.uint64(1)  # by Gray rank, and all close to each other
+    whole = [x.tolist() for x in simhash.GrayIndex(codes).search(codes, 2)]
+    monkeypatch.setattr(simhash, "FRONTIER", 5000)
+    parts = list(simhash.GrayIndex(codes).searches(codes, 2))
+    assert len(parts) > 16 and [np.concatenate(x).tolist() for x in zip(*parts)] == whole
+
+
 def test_gray_index_finds_all_pairs():
     rng = np.random.default_rng(1)
     base = np.uint64(0x123456789ABC0000)
