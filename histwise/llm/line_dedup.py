@@ -1,16 +1,21 @@
 """Removal of lines that many documents share, with two Bloom filters before the shuffle.
 
+0. The filters' size follows the data: at least ``BITS_PER_KEY`` bits for each distinct line (an
+   estimate by ``approx_count_distinct``, partially aggregated), up to ``MOST_BITS``.
 1. Every task reads its texts and keeps two filters over the hashes of line keys: keys seen
    once, and keys seen in a second document (both halves of a pair set the second filter).
    Filters of two tasks merge to (A | B, T | U | A & B): a key that both hold is in A & B, so no
    repeat is lost. They travel as compressed pieces and are merged piece by piece.
-2. The merged "seen twice" filter has a fixed size (``bits`` / 8 bytes) and is broadcast. Only
+2. The merged "seen twice" filter has ``bits`` / 8 bytes, at most ``MOST_BITS`` / 8, and is broadcast. Only
    keys that it holds are suspects; only these are shuffled, with their documents.
 3. Suspects are counted exactly, by the key itself (partial counts before the shuffle, so a key
    of a third of all documents is one row for each task), and the first occurrence is chosen.
 4. Dropped keys are joined back with a salt and end as one list for each document.
 
-A filter that is too small for a corpus lets more suspects through; the result is the same.
+A filter that is too small for a corpus lets more suspects through; the result is the same. At
+``BITS_PER_KEY`` 8 and many tasks, each bit of a key seen once is set in the second filter if another key set it in
+another task, with 1 - e^-(HASHES / 8) at most, so at most 0.39 ** HASHES = 2.4 % of these keys are suspects, until
+the size reaches ``MOST_BITS``; beyond that the share grows.
 
 Inputs: a null or empty text is one empty line; texts of any length are read whole; empty keys
 are never dropped while ``min_chars`` is at least 1; each row counts as a document, so repeated
@@ -34,7 +39,9 @@ from pyspark.sql.functions import arrow_udf
 from histwise.llm.bpe import slices
 from histwise.llm.common import OWN, ready, stored, text_or_empty
 
-FILTER_BITS = 1 << 26
+BITS_PER_KEY = 8
+#: 128 MiB to broadcast and twice that in a task that fills: enough for 134 million distinct lines.
+MOST_BITS = 1 << 30
 HASHES = 4
 PIECE = 1 << 16
 #: Shares into which the documents of one dropped key are dealt for the join.
@@ -72,18 +79,43 @@ def hashed(keys: list[bytes]) -> np.ndarray:
     return np.fromiter((xxhash.xxh3_64_intdigest(k) for k in keys), np.uint64, len(keys))
 
 
+def filter_bits(texts: DataFrame) -> int:
+    """The size of the filters for ``texts`` (t): a power of two."""
+    lines = texts.select(F.explode(F.split("t", "\n")).alias("line"))
+    count = lines.agg(F.approx_count_distinct(F.xxhash64("line"), 0.02)).first()[0] or 0
+    return min(MOST_BITS, max(PIECE, 1 << (BITS_PER_KEY * count - 1).bit_length() if count else 0))
+
+
+class Bits:
+    """A set of bits, eight in a byte."""
+
+    def __init__(self, bits: int):
+        self.bytes = np.zeros(bits // 8, np.uint8)
+
+    def add(self, at: np.ndarray) -> None:
+        np.bitwise_or.at(self.bytes, at >> 3, np.uint8(128) >> (at & 7).astype(np.uint8))
+
+    def has(self, at: np.ndarray) -> np.ndarray:
+        return held(self.bytes, at)
+
+
+def held(packed: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Which bits of ``at`` are set (highest bit of a byte first)."""
+    return (packed[at >> 3] & (np.uint8(128) >> (at & 7).astype(np.uint8))) != 0
+
+
 def twice_filter(texts: DataFrame, bits: int, min_chars: int) -> bytes:
     """The filter of keys that at least two rows of ``texts`` (t) hold, ``bits`` / 8 bytes."""
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        once, twice = np.zeros(bits, bool), np.zeros(bits, bool)
+        once, twice = Bits(bits), Bits(bits)
         for batch in batches:
             for part in slices(batch):
                 found, count = np.unique(hashed([k for t in part.column("t").to_pylist() for k in distinct_keys(t, min_chars)]), return_counts=True)
                 at = places(found, bits)
-                twice[at[(count > 1) | once[at].all(axis=1)]] = True
-                once[at] = True
-        one, two = np.packbits(once), np.packbits(twice)
+                twice.add(at[(count > 1) | once.has(at).all(axis=1)].ravel())
+                once.add(at.ravel())
+        one, two = once.bytes, twice.bytes
         size = PIECE // 8
         for piece in range(len(one) // size):
             a, b = one[piece * size:(piece + 1) * size], two[piece * size:(piece + 1) * size]
@@ -118,7 +150,7 @@ def suspects(docs: DataFrame, seen_twice: bytes, bits: int, min_chars: int) -> D
     shared = docs.sparkSession.sparkContext.broadcast(seen_twice)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.unpackbits(np.frombuffer(shared.value, np.uint8)).view(bool)
+        packed = np.frombuffer(shared.value, np.uint8)
         for batch in batches:
             for part in slices(batch):
                 ids, keys, lines = [], [], []
@@ -128,7 +160,7 @@ def suspects(docs: DataFrame, seen_twice: bytes, bits: int, min_chars: int) -> D
                     keys += own.keys()
                     lines += own.values()
                 if keys:
-                    maybe = np.nonzero(held[places(hashed(keys), bits)].all(axis=1))[0].tolist()
+                    maybe = np.nonzero(held(packed, places(hashed(keys), bits)).all(axis=1))[0].tolist()
                     yield pa.record_batch({"id": pa.array([ids[i] for i in maybe], pa.int64()), "key": pa.array([keys[i] for i in maybe], pa.binary()), "line": pa.array([lines[i] for i in maybe], pa.int32())})
 
     return docs.mapInArrow(run, "id long, key binary, line int")
@@ -148,14 +180,15 @@ def without(text: pa.Array, dropped: pa.Array) -> pa.Array:
     return pa.array(out, pa.struct({"kept": pa.string(), "n_lines": pa.int64(), "n_dropped": pa.int64()}))
 
 
-def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep_first: bool = False, bits: int = FILTER_BITS) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep_first: bool = False, bits: int | None = None) -> DataFrame:
     """``docs`` (doc_id, text, ...) with the column ``__llm_lines``, a struct of kept (text), n_lines and
     n_dropped. Keys in at least ``min_docs`` rows lose their lines, all of them or, with
-    ``keep_first``, all but the first occurrence."""
-    if bits & (bits - 1) or bits < PIECE:
+    ``keep_first``, all but the first occurrence. ``bits``: size of the filters, by default from the data."""
+    if bits is not None and (bits & (bits - 1) or bits < PIECE):
         raise ValueError(f"bits must be a power of two from {PIECE} on")
     ready(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), text_or_empty().alias("t"))
+    bits = bits or filter_bits(rows)
     maybe = stored(suspects(rows, twice_filter(rows.select("t"), bits, min_chars), bits, min_chars), "line-suspects")
     dropped = (maybe.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("id", "line")).alias("first"))
                .where(F.col("n") >= min_docs)

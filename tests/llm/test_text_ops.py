@@ -176,6 +176,26 @@ def test_line_dedup(docs, rows, none):
     assert line_dedup.digests(none).count() == 0
 
 
+@pytest.mark.parametrize("count", [20_000, 200_000])
+def test_filters_follow_the_data(llm, count):
+    """Of lines seen once, few are suspects, whatever their number; lines seen twice all are."""
+    text = F.concat_ws("\n", F.transform(F.sequence(F.lit(0), F.lit(99)), lambda i: F.concat(F.lit("line "), F.col("id") * 100 + i)), F.concat(F.lit("Twice "), F.floor(F.col("id") / 2)))
+    rows = llm.range(0, count // 100, 1, 16).select("id", text.alias("t"))
+    bits = line_dedup.filter_bits(rows)
+    assert 8 * 0.9 * count <= bits <= 17 * count
+    found = line_dedup.suspects(rows, line_dedup.twice_filter(rows.select("t"), bits, 1), bits, 1)
+    kinds = {r["kind"].decode(): r["count"] for r in found.groupBy(F.substring("key", 1, 4).alias("kind")).count().collect()}
+    most = (1 - np.exp(-line_dedup.HASHES / line_dedup.BITS_PER_KEY)) ** line_dedup.HASHES  # 2.4 %
+    assert kinds["twic"] == count // 100 and kinds.get("line", 0) < most * count
+
+
+def test_filter_size_has_bounds(llm, none, monkeypatch):
+    assert line_dedup.filter_bits(none.select(F.col("text").alias("t"))) == line_dedup.PIECE
+    monkeypatch.setattr(line_dedup, "MOST_BITS", 1 << 17)
+    rows = llm.range(100_000).select(F.col("id").cast("string").alias("t"))
+    assert line_dedup.filter_bits(rows) == 1 << 17
+
+
 def plain_fingerprint(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate({i: i + 32 for i in range(65, 91)}))
     if not words:
