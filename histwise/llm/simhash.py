@@ -19,8 +19,8 @@ them link at ``max_bits`` or fewer differing bits; the classes are the connected
 Sizes: the upper nodes are broadcast and are at most ``MAX_BLOCKS`` rows of 20 bytes, whatever the corpus;
 beyond ``MAX_BLOCKS * BLOCK_CODES`` distinct fingerprints the blocks grow (8 bytes a code in a task).
 A search's working set is at most ``FRONTIER`` places (or one visitor's): where it would pass them, half the
-visitors are searched at a time. With p bits shared in a block, a random fingerprint visits about half of
-1 + p + p (p - 1) / 2 blocks; p is the logarithm of the number of blocks, so visits grow with its square.
+visitors are searched at a time. With p bits shared in a block, a random fingerprint's visits go with
+1 + p + p (p - 1) / 2; p is about the logarithm of the number of blocks, so visits grow with its square.
 
 Inputs: a null or empty text, or one without words, has fingerprint zero and links like any other;
 fewer words than a shingle: the whole sequence is the shingle; texts of any length are read
