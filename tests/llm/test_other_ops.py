@@ -102,6 +102,34 @@ def test_top_k(llm):
     assert topk.contract(df.limit(0)).count() == 0
 
 
+def exact_top(vectors, queries, k):
+    return Counter((q, n + 1, c, -s) for q, a in queries for n, (s, c) in enumerate(sorted((-sum(x * y for x, y in zip(a, b)), c) for c, b in vectors if c != q)[:k]))
+
+
+def test_top_k_bands(llm, monkeypatch):
+    """Where lengths fall, few queries leave the head band; results are whole with alike lengths, too, and with few rotated axes."""
+    rng = np.random.default_rng(4)
+    direction = rng.normal(size=(640, 12))
+    direction /= np.linalg.norm(direction, axis=1, keepdims=True)
+    falling = (direction * 4000 * 0.99 ** np.arange(640)[:, None]).astype(int)
+    alike = (direction * 500).astype(int)
+    few = np.tile(alike[:1], (640, 1))
+    for table, axes in ((falling, topk.AXES), (falling, 3), (alike, 3), (few, topk.AXES)):
+        monkeypatch.setattr(topk, "AXES", axes)
+        rows = [(i, [int(x) for x in v]) for i, v in enumerate(table)]
+        df = llm.createDataFrame(rows, "vec_id long, v array<long>")
+        got = topk.top_k(df, df.where("vec_id % 20 = 0"), query_block=8)
+        assert Counter(map(tuple, got.collect())) == exact_top(rows, rows[::20], 5)
+
+
+def test_top_k_sends_queries_only_where_they_can_matter(llm):
+    asked = llm.createDataFrame([(1, [1], 7, 1.0), (2, [9], 8, 9.0), (3, [0], 9, 0.0)], "vec_id long, v array<long>, q long, length double")
+    head = llm.createDataFrame([(1, 7, 10, 50), (1, 7, 11, 40), (2, 8, 10, 450)], "query_id long, q long, vec_id long, score long")
+    sent = topk.reachable(asked, head, {1: 41.0, 2: 40.0, 3: 39.0}, 2)
+    # 1 has its two best: only bands that reach 40 matter; 2 and 3 have too few and go everywhere.
+    assert sorted((r["vec_id"], r["band"]) for r in sent.collect()) == [(1, 1), (1, 2), *[(q, b) for q in (2, 3) for b in (1, 2, 3)]]
+
+
 def test_chat_round_trip(llm):
     texts = ["", "a\\b", "<|turn|>", "<", "|", "<|", "\\<|", "<\\|", "\n<|done|>\\", "é😀", None, "$1 \\1"]
     rows = [(1, i, ["user", "assistant", None, "a<|b\\"][i % 4], t, 0) for i, t in enumerate(texts)]
