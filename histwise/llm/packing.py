@@ -1,8 +1,9 @@
 """Packing by lexical retrieval: windows are filled with a seed document and its BM25 neighbours.
 
-1. Texts become token ids and are stored with an end id (one pass, no shuffle).
-2. Document frequencies of all terms (token ids, so at most the vocabulary's size) are counted
-   over all documents and broadcast: that bound does not grow with the corpus.
+1. Texts become token ids and are stored with an end id (one pass, no shuffle). Each task counts in
+   the same pass the documents that hold each term and stores these counts beside its documents.
+2. The document frequencies of all terms (token ids, so at most the vocabulary's size) are the sums
+   over all tasks and are broadcast: that bound does not grow with the corpus.
 3. Documents are routed by content: a sketch of ``SKETCH`` terms, rare ones before common ones, is
    drawn the same way from every document, so those that share their rare terms have the same
    sketch with a probability that grows with the share. The documents are dealt and sorted by the
@@ -89,45 +90,55 @@ def number(vocabulary: str, end_id: int = END_ID) -> str:
     return "<u2" if most < 1 << 16 else "<u4"
 
 
+TOKENS = "doc_id long, ids binary, term long, n long"
+
+
+class TermCounts:
+    """For each term the number of documents that hold it; term -1: documents, -2: ids in all."""
+
+    def __init__(self) -> None:
+        self.counts, self.documents, self.total = np.zeros(0, np.int64), 0, 0
+
+    def add(self, ids: np.ndarray) -> None:
+        terms = np.unique(ids)
+        if terms[-1] >= self.counts.size:
+            self.counts = np.pad(self.counts, (0, int(terms[-1]) + 1 - self.counts.size))
+        self.counts[terms] += 1
+        self.documents, self.total = self.documents + 1, self.total + len(ids)
+
+    def rows(self) -> pa.RecordBatch:
+        held = np.nonzero(self.counts)[0]
+        term = np.concatenate([held, [-1, -2]]).astype(np.int64)
+        n = np.concatenate([self.counts[held], [self.documents, self.total]]).astype(np.int64)
+        return pa.record_batch({"doc_id": pa.nulls(len(term), pa.int64()), "ids": pa.nulls(len(term), pa.binary()), "term": term, "n": n})
+
+
 def tokenize(docs: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFrame:
-    """doc_id and ids (little-endian numbers of type ``number``, the end id last)."""
+    """doc_id and ids (little-endian numbers of type ``number``, the end id last) of each document, their term
+    null; and each task's ``TermCounts`` as rows (term, n), their ids null. So one pass gives both."""
     stored_as = number(vocabulary, end_id)
-    end, code = np.array([end_id], stored_as).tobytes(), np.dtype(stored_as).char
+    code = np.dtype(stored_as).char
 
     def packed(ids: list[int]) -> bytes:
         """A list's numbers as bytes; ``array`` reads a list faster than numpy does."""
         out = array(code, ids)
+        out.append(end_id)
         if sys.byteorder == "big":
             out.byteswap()
         return out.tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = loaded(vocabulary).encode
+        encode, counts = loaded(vocabulary).encode, TermCounts()
         for batch in batches:
             for part in slices(batch):
-                coded = [packed(encode(t)) + end for t in part.column("t").to_pylist()]
-                yield pa.record_batch({"doc_id": part.column("doc_id"), "ids": pa.array(coded, pa.binary())})
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("t")).mapInArrow(run, "doc_id long, ids binary")
-
-
-def term_counts(tokens: DataFrame, stored_as: str = "<u4") -> DataFrame:
-    """For each term the number of documents that hold it; term -1: documents, -2: ids in all."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, documents, total = np.zeros(0, np.int64), 0, 0
-        for batch in batches:
-            for ids in batch.column("ids"):
-                own = np.frombuffer(ids.as_buffer(), stored_as)
-                terms = np.unique(own)
-                if terms.size and terms[-1] >= counts.size:
-                    counts = np.pad(counts, (0, int(terms[-1]) + 1 - counts.size))
-                counts[terms] += 1
-                documents, total = documents + 1, total + len(own)
-        held = np.nonzero(counts)[0]
-        yield pa.record_batch({"term": np.concatenate([held, [-1, -2]]).astype(np.int64), "n": np.concatenate([counts[held], [documents, total]]).astype(np.int64)})
+                coded = [packed(encode(t)) for t in part.column("t").to_pylist()]
+                for ids in coded:
+                    counts.add(np.frombuffer(ids, stored_as))
+                none = pa.nulls(len(coded), pa.int64())
+                yield pa.record_batch({"doc_id": part.column("doc_id"), "ids": pa.array(coded, pa.binary()), "term": none, "n": none})
+        yield counts.rows()
 
-    return tokens.mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("t")).mapInArrow(run, TOKENS)
 
 
 def kind(idf: np.ndarray) -> str:
@@ -235,9 +246,10 @@ def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, end_id: int = E
     spark = docs.sparkSession
     path = shared_path(spark, "packing-tokens")
     tokenize(docs, vocabulary, end_id).write.option("compression", "zstd").parquet(path)
-    tokens = spark.read.schema("doc_id long, ids binary").parquet(path)
+    coded = spark.read.schema(TOKENS).parquet(path)
+    tokens = coded.where("term is null").select("doc_id", "ids")
     stored_as = number(vocabulary, end_id)
-    counts = {r["term"]: r["n"] for r in term_counts(tokens, stored_as).collect()}  # at most the vocabulary's size
+    counts = {r["term"]: r["n"] for r in coded.where("term is not null").groupBy("term").agg(F.sum("n").alias("n")).collect()}  # at most the vocabulary's size
     documents, total = counts.pop(-1, 0), counts.pop(-2, 0)
     df = np.zeros(max(counts, default=0) + 1)
     df[list(counts)] = list(counts.values())
