@@ -39,6 +39,8 @@ from histwise.llm.common import ready, stored
 
 #: Queries that a task holds, about.
 QUERY_BLOCK = 4096
+#: Candidates that a task streams, about.
+STRIPE = 1 << 17
 BATCH = 512
 STEPS = (1 / 8, 1 / 4, 1 / 2)
 #: Components that are rotated: bounds the rows that the driver gets.
@@ -151,26 +153,27 @@ class Best:
         return pa.record_batch({"query_id": self.ids[q], "q": query_hash[q], "vec_id": self.id[held], "score": self.score[held]})
 
 
-def pmod_hash(n: Column | int) -> Column:
-    return F.pmod(F.xxhash64("vec_id"), F.lit(n) if isinstance(n, int) else n).cast("int")
+def pmod_hash(n: Column) -> Column:
+    return F.pmod(F.xxhash64("vec_id"), n).cast("int")
 
 
-def upto(n: Column | int) -> Column:
-    return F.explode(F.sequence(F.lit(0), (F.lit(n) if isinstance(n, int) else n) - 1))
+def upto(n: Column) -> Column:
+    return F.explode(F.sequence(F.lit(0), n - 1))
 
 
-def search(given: DataFrame, asked: DataFrame, blocks: dict[int, int], axes: Broadcast, width: int, k: int) -> DataFrame:
+def search(given: DataFrame, asked: DataFrame, sizes: dict[int, int], blocks: dict[int, int], axes: Broadcast, width: int, k: int) -> DataFrame:
     """query_id, q, vec_id, score: the best k in each stripe of the bands that a query is sent to.
 
-    ``given``: band, length, vec_id, v. ``asked``: band, vec_id, v, q and the floor (-inf: none). ``blocks`` has the
-    number of blocks of queries of each band."""
-    stripes = -(-int(given.sparkSession.conf.get("spark.sql.shuffle.partitions")) // len(blocks))
-    number = F.coalesce(*[F.when(F.col("band") == b, F.lit(n)) for b, n in blocks.items()])
+    ``given``: band, length, vec_id, v. ``asked``: band, vec_id, v, q and the floor (-inf: none). ``sizes`` has the
+    candidates of each band, ``blocks`` the blocks of queries of the bands that are searched."""
+    split = {b: -(-sizes.get(b, 0) // STRIPE) or 1 for b in blocks}
+    of = lambda counts: F.coalesce(*[F.when(F.col("band") == b, F.lit(n)) for b, n in counts.items()])
+    number, stripes = of(blocks), of(split)
     left = asked.select("band", pmod_hash(number).alias("block"), upto(stripes).alias("stripe"), F.lit(float("inf")).alias("length"), "vec_id", "v", "q", "floor")
     right = given.where(F.col("band").isin(list(blocks))).select("band", upto(number).alias("block"), pmod_hash(stripes).alias("stripe"), "length", "vec_id", "v",
                                                                   F.lit(None).cast("long").alias("q"), F.lit(None).cast("double").alias("floor"))
     key = ["band", "block", "stripe"]
-    rows = left.unionByName(right).repartition(stripes * sum(blocks.values()), *key).sortWithinPartitions(*key, F.desc("length"), "vec_id")
+    rows = left.unionByName(right).repartition(sum(split[b] * n for b, n in blocks.items()), *key).sortWithinPartitions(*key, F.desc("length"), "vec_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, asked, best, over = None, [], None, False
@@ -230,22 +233,23 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, query_block: int =
     """query_id, rank, vec_id and score for both tables' rows (vec_id, v: integers)."""
     spark = ready(vectors.sparkSession)
     given = banded(vectors)
-    bands = {r["band"]: r for r in given.groupBy("band").agg(F.max("length").alias("longest"), F.max(F.size("v")).alias("width")).collect()}  # at most BANDS + 1
+    bands = {r["band"]: r for r in given.groupBy("band").agg(F.max("length").alias("longest"), F.max(F.size("v")).alias("width"), F.count("*").alias("n")).collect()}  # at most BANDS + 1
     length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
     asked = stored(queries.dropDuplicates(["vec_id", "v"]).select("vec_id", "v", F.xxhash64("v").alias("q"), length.alias("length")), "topk-queries")
     number, wide = asked.agg(F.count("*"), F.max(F.size("v"))).first()
     width = max([wide or 0, *(r["width"] for r in bands.values())])
     axes = spark.sparkContext.broadcast(rotation(given, min(width, AXES)) if width else np.zeros((0, 0)))
+    sizes = {b: r["n"] for b, r in bands.items()}
     blocks = lambda n: max(1, -(-n // query_block))
     everyone = asked.select(F.lit(0).alias("band"), "vec_id", "v", "q", F.lit(float("-inf")).alias("floor"))
-    head = stored(ranked(search(given, everyone, {0: blocks(number)}, axes, width, k), k).drop("rank"), "topk-head")
+    head = stored(ranked(search(given, everyone, sizes, {0: blocks(number)}, axes, width, k), k).drop("rank"), "topk-head")
     longest = {b: r["longest"] for b, r in bands.items() if b}
     found = head
     if longest:
         sent = stored(reachable(asked, head, longest, k), "topk-sent")
         need = {r["band"]: blocks(r["n"]) for r in sent.groupBy("band").agg(F.count("*").alias("n")).collect()}  # at most BANDS
         if need:
-            found = head.unionByName(search(given, sent, need, axes, width, k))
+            found = head.unionByName(search(given, sent, sizes, need, axes, width, k))
     return ranked(found, k).select("query_id", "rank", "vec_id", "score")
 
 

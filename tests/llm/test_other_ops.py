@@ -114,6 +114,7 @@ def test_top_k_bands(llm, monkeypatch):
     falling = (direction * 4000 * 0.99 ** np.arange(640)[:, None]).astype(int)
     alike = (direction * 500).astype(int)
     few = np.tile(alike[:1], (640, 1))
+    monkeypatch.setattr(topk, "STRIPE", 50)  # bands of several stripes
     for table, axes in ((falling, topk.AXES), (falling, 3), (alike, 3), (few, topk.AXES)):
         monkeypatch.setattr(topk, "AXES", axes)
         rows = [(i, [int(x) for x in v]) for i, v in enumerate(table)]
