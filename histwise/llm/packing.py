@@ -84,10 +84,13 @@ def loaded(path: str) -> FastIds:
     return _LOADED[path]
 
 
+def greatest(vocabulary: str, end_id: int = END_ID) -> int:
+    return max(max(loaded(vocabulary).own.id_bytes), end_id)
+
+
 def number(vocabulary: str, end_id: int = END_ID) -> str:
     """The numbers in which ids of ``vocabulary`` are stored: two bytes where all fit."""
-    most = max(max(loaded(vocabulary).own.id_bytes), end_id)
-    return "<u2" if most < 1 << 16 else "<u4"
+    return "<u2" if greatest(vocabulary, end_id) < 1 << 16 else "<u4"
 
 
 TOKENS = "doc_id long, ids binary, term long, n long"
@@ -96,17 +99,25 @@ TOKENS = "doc_id long, ids binary, term long, n long"
 class TermCounts:
     """For each term the number of documents that hold it; term -1: documents, -2: ids in all."""
 
-    def __init__(self) -> None:
-        self.counts, self.documents, self.total = np.zeros(0, np.int64), 0, 0
+    def __init__(self, size: int):
+        self.counts, self.documents, self.total = np.zeros(size, np.int64), 0, 0
+        # marks of one document, and their sums over at most 255 documents
+        self.mark, self.recent = np.zeros(size, np.uint8), np.zeros(size, np.uint8)
 
     def add(self, ids: np.ndarray) -> None:
-        terms = np.unique(ids)
-        if terms[-1] >= self.counts.size:
-            self.counts = np.pad(self.counts, (0, int(terms[-1]) + 1 - self.counts.size))
-        self.counts[terms] += 1
+        self.mark[ids] = 1
+        self.recent += self.mark
+        self.mark[ids] = 0
         self.documents, self.total = self.documents + 1, self.total + len(ids)
+        if self.documents % 255 == 0:
+            self.settle()
+
+    def settle(self) -> None:
+        self.counts += self.recent
+        self.recent[:] = 0
 
     def rows(self) -> pa.RecordBatch:
+        self.settle()
         held = np.nonzero(self.counts)[0]
         term = np.concatenate([held, [-1, -2]]).astype(np.int64)
         n = np.concatenate([self.counts[held], [self.documents, self.total]]).astype(np.int64)
@@ -128,7 +139,7 @@ def tokenize(docs: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFram
         return out.tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, counts = loaded(vocabulary).encode, TermCounts()
+        encode, counts = loaded(vocabulary).encode, TermCounts(greatest(vocabulary, end_id) + 1)
         for batch in batches:
             for part in slices(batch):
                 coded = [packed(encode(t)) for t in part.column("t").to_pylist()]
