@@ -82,3 +82,25 @@ def test_empty_table(spark, root):
     df = rows(spark, 0, x=F.lit(1))
     assert tables.publish(df, f"{root}/t", expected=tables.keys_of(df)).rows == 0
     assert tables.read(spark, f"{root}/t").count() == 0
+
+
+def test_a_task_gets_no_more_of_a_larger_table():
+    for rows in (480_000, 4_800_000, 28_800_000):
+        assert -(-rows // tables.buckets_for(rows)) <= 250_000
+    assert tables.buckets_for(0) == 1 and tables.buckets_for(10**12) == 100_000  # Spark's limit
+
+
+def test_rows_for_training_come_in_bounded_parts(spark, root, monkeypatch):
+    """A plain scan packs the buckets' files into few tasks."""
+    from histwise.plans import training
+    monkeypatch.setattr(tables, "BUCKET_ROWS", 100)
+    df = rows(spark, 2000, y=F.col("id") % 2, fold=F.col("id") % 10, x=F.col("id") * 1.5)
+    data, about = training.stored_matrix(df, ["x"], "y", ["fold"], f"{root}/t", tables.keys_of(df))
+    parts = data.withColumn("p", F.spark_partition_id()).groupBy("p").agg(F.count("*").alias("n")).collect()
+    assert about.buckets == 20 and len(parts) == 20 and sum(r["n"] for r in parts) == 2000
+    assert sorted(map(str, data.collect())) == sorted(map(str, df.select(data.columns).collect()))
+
+
+def test_small_tables_stay_in_one_part_and_in_order(spark):
+    got = tables.in_parts(rows(spark, 500).orderBy(F.rand(1)), 500, "row_id")
+    assert got.rdd.getNumPartitions() == 1 and [r[0] for r in got.collect()] == list(range(500))
