@@ -57,7 +57,7 @@ LEAF, FAN = 8, 8
 #: are broadcast), visitors in a slice.
 BLOCK_CODES, MIN_BLOCKS, MAX_BLOCKS, SLICE = 1 << 16, 64, 1 << 16, 1 << 19
 #: Most places (visitor, node) that a search of several visitors holds.
-FRONTIER = 1 << 21
+FRONTIER = 1 << 18
 
 
 def fingerprint(text: str, words_per_shingle: int = WORDS_PER_SHINGLE) -> int:

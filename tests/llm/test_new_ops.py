@@ -324,3 +324,20 @@ def test_sql_of_the_new_operators_on_plain_tables(llm):
     for key in ("op11_warc", "op13_collocations"):
         msg = compare(llm, con, key, catalog.QUERIES[key], catalog.ORACLES[key], SF)
         assert msg.startswith("ok"), msg
+
+
+def test_simhash_search_of_a_large_near_group_is_small():
+    """One group of near codes: a search holds little at a time and finds the links of a wide one."""
+    import tracemalloc
+    import numpy as np
+    from histwise.llm import simhash
+    rng, codes = np.random.default_rng(1), np.full(15_000, 77, np.uint64)
+    for _ in range(3):
+        codes ^= np.uint64(1) << rng.integers(0, 64, len(codes)).astype(np.uint64)
+    block = simhash.Block(np.unique(codes), 2)
+    tracemalloc.start()
+    u, v = block.visit(block.codes)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(u) and peak < 32e6
+    assert (np.bitwise_count(u ^ v) <= 2).all()
