@@ -17,8 +17,9 @@ def l2_norm(v: Column) -> Column:
     return F.sqrt(F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x * x))
 
 
-def cosine(a: Column, b: Column, on_zero: float = NO_VALUE) -> Column:
-    """Cosine similarity; ``on_zero`` if a norm is 0; NULL if a vector is missing."""
-    na, nb = l2_norm(a), l2_norm(b)
+def cosine(a: Column, b: Column, on_zero: float = NO_VALUE, norms: tuple[Column, Column] | None = None) -> Column:
+    """Cosine similarity; ``on_zero`` if a norm is 0; NULL if a vector is missing. ``norms``: those of ``a`` and ``b``
+    where they are at hand."""
+    na, nb = norms or (l2_norm(a), l2_norm(b))
     return (F.when((na == 0) | (nb == 0), F.lit(on_zero))
              .otherwise(dot(a, b) / na / nb))

@@ -53,3 +53,26 @@ def test_blocked_path_equals_plain_on_full_matrix(spark):
     assert len(exchanges) < 40, len(exchanges)
     assert plain.count() == blocked.count()
     assert plain.exceptAll(blocked).count() == 0 and blocked.exceptAll(plain).count() == 0
+
+
+def test_json_is_parsed_once_for_each_row(spark):
+    from pyspark.sql import functions as F
+    from histwise.sources.testdata import bind_train
+    events = spark.range(200).select(
+        F.col("id").alias("event_id"), F.lit("2024-01-01 05:06:07.8").cast("timestamp_ntz").alias("ts"), (F.col("id") % 7).alias("user_id"),
+        F.when(F.col("id") % 9 == 0, "signup").when(F.col("id") % 11 > 0, "view").alias("event_type"), (F.col("id") * 1.0).alias("value"),
+        F.when(F.col("id") % 5 > 0, F.format_string('{"k": %d}', F.col("id") % 13)).alias("props"))
+    log = bind_train(events)
+    assert _plan(log).count("get_json_object") == 1, _plan(log)
+    for r in log.collect():
+        i = r["row_id"]
+        k = i % 13 if i % 5 else None
+        assert r["content_id"] == k
+        assert r["answered_correctly"] == (-1 if i % 9 == 0 else int(k is not None and i > 3 * k))
+
+
+def test_a_norm_is_taken_for_an_item_and_not_for_a_row(spark):
+    from histwise.plans.features import feature_frame
+    plan = _plan(feature_frame(FeatureContext(load_inputs(spark, SF001)), "UserLastSolvedProblemSimilarity"))
+    above = plan[:plan.index("Join")]
+    assert "zip_with" in above.lower() and "SQRT" not in above.upper(), above

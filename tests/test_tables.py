@@ -104,3 +104,15 @@ def test_rows_for_training_come_in_bounded_parts(spark, root, monkeypatch):
 def test_small_tables_stay_in_one_part_and_in_order(spark):
     got = tables.in_parts(rows(spark, 500).orderBy(F.rand(1)), 500, "row_id")
     assert got.rdd.getNumPartitions() == 1 and [r[0] for r in got.collect()] == list(range(500))
+
+
+def test_many_stored_parts_are_read_without_an_exchange(spark, root, monkeypatch):
+    """A table of many parts for each core is read as it is stored, not dealt out and sorted once more."""
+    from histwise.plans import training
+    df = rows(spark, 2000, y=F.col("id") % 2, fold=F.col("id") % 10, x=F.col("id") * 1.5)
+    monkeypatch.setattr(tables, "BUCKET_ROWS", 25)
+    data, about = training.stored_matrix(df, ["x"], "y", ["fold"], f"{root}/t", tables.keys_of(df))
+    plan = data._jdf.queryExecution().executedPlan().toString()
+    assert about.buckets == 80 and "Exchange" not in plan and "Sort" not in plan, plan
+    assert data.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert sorted(map(str, data.collect())) == sorted(map(str, df.select(data.columns).collect()))
